@@ -209,10 +209,10 @@ def _ks() -> str:
 
 
 DRIFT_ROWS = "round(d, 6) AS d, round(p_value, 6) AS p_value"
-DRIFT_REPORT = f"WITH {_ks()} SELECT column_name, n1, n2, {DRIFT_ROWS}, p_value < 0.05 AS drift_status, 0.05 AS threshold FROM tested"
+DRIFT_REPORT = f"WITH {_ks()} SELECT column_name, n1, n2, {DRIFT_ROWS}, p_value < 0.05 AS drift_status, CAST(0.05 AS DOUBLE) AS threshold FROM tested"
 DRIFT_SUMMARY = f"""
 WITH {_ks()}
-SELECT count(*) AS total_columns_checked, bool_or(p_value < 0.05) AS drift_detected, 0.05 AS threshold_used,
+SELECT count(*) AS total_columns_checked, bool_or(p_value < 0.05) AS drift_detected, CAST(0.05 AS DOUBLE) AS threshold_used,
        COALESCE(string_agg(CASE WHEN p_value < 0.05 THEN column_name END, ',' ORDER BY column_name), '') AS drift_columns
 FROM tested
 """
