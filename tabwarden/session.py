@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,12 +28,13 @@ def local_session(cores: str = "8", app: str = "tabwarden") -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; it then gets a temporary folder.
+    Only a session whose executors live in the driver's process may go without it; it
+    then gets a temporary folder.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = "file://" + tempfile.mkdtemp(prefix="tabwarden-")
     if sc.getCheckpointDir() is None:
