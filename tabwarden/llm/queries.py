@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tabwarden.llm import mixing, quality
+from tabwarden.llm import decontaminate, html, language, mixing, near_dup, packing, quality, repeats, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -24,9 +31,36 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def op6_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
+    "op6_pack_tokens": op6_pack_tokens,
+    "op7_remove_repeats": op7_remove_repeats,
+    "op8_language": op8_language,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_page_text": op10_page_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}
