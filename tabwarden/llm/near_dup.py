@@ -6,10 +6,12 @@ four; sets that share a band are candidates. The samples are also folded into an
 differ estimate how many samples differ, so candidates whose estimate is far below the
 threshold go without being compared. The others are confirmed on the full sets.
 
-A band bucket is not expanded into pairs. First every set is compared with the smallest of its
-bucket. Buckets that then still hold several components are compared in blocks: a task gets
-two blocks of a bucket, holds their sketches against each other with numpy and returns the pairs
-across components that pass. So no pair is lost, and none is made inside a group that is
+A band bucket is not expanded into pairs. First every set is compared with one leader of its
+bucket, the set that shares buckets with most others; it is the one that was changed least, and
+links almost all that can be linked. Buckets that then still hold several components are compared
+in blocks: a task gets the full sets of two blocks of a bucket, counts shared shingles across
+components by matrix products, and returns only the links that join components. So no
+link is lost, no pair that is not a link leaves a task, and nothing is made inside a group that is
 already joined.
 
 The chance that a pair at the threshold 0.8 shares no band is (1 - 0.8^4)^24, 3 in a million.
@@ -35,8 +37,11 @@ BANDS = SAMPLES // BAND
 SKETCH = 256
 # How far the sketch's estimate may fall below the threshold: five standard deviations.
 MARGIN = 0.2
-# Sets in one block of a bucket.
+# Sets in one block of a bucket, and shingles of them all, on average.
 BLOCK = 256
+BLOCK_SHINGLES = 1_000_000
+# Columns of one matrix product.
+COLUMNS = 4_096
 # Ids that are broadcast to pick rows; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -158,27 +163,67 @@ def _confirmed(percent: int):
     return confirm
 
 
-def _cross_pairs(limit: int):
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        sketch = np.stack(block["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
-        group, side = block["component"].to_numpy(), block["side"].to_numpy()
-        left = np.flatnonzero(side == 0) if (side == 1).any() else np.arange(len(block))
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        pairs = []
-        for i in left:
-            others = right if len(right) and right is not left else left[left > i]
-            others = others[group[others] != group[i]]
-            differ = np.bitwise_count(sketch[others] ^ sketch[i]).sum(axis=1)
-            pairs += [(i, j) for j in others[differ <= limit]]
-        a = [i for i, _ in pairs]
-        b = [j for _, j in pairs]
-        rep, digest = block["rep"].to_numpy(), block["digest"].to_numpy()
-        return pd.DataFrame({"a": rep[a], "digest_a": digest[a], "b": rep[b], "digest_b": digest[b]})
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common members of every set on the left and on the right."""
+    flat = np.concatenate([*left, *right])
+    members, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+    # Only members of two sets or more can be common.
+    column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[place]
+    row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    row, column = row[column >= 0], column[column >= 0]
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (begin, begin + COLUMNS))
+        table = np.zeros((len(left) + len(right), COLUMNS), np.float32)
+        table[row[a:b], column[a:b] - begin] = 1
+        out += table[: len(left)] @ table[len(left) :].T
+    return out.astype(np.int64)
+
+
+def joining_links(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Of the linked pairs, enough to join the components named by ``left`` and ``right``."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        x, y = root(int(left[i])), root(int(right[j]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((i, j))
+    return out
 
-    return compare
 
+def _cross_links(percent: int, limit: int):
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        side = block["side"].to_numpy()
+        a, b = (block[side == 0], block[side == 1]) if block["low"].iloc[0] < block["high"].iloc[0] else (block, block)
+        if not len(a) or not len(b):
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+        groups = [x["component"].to_numpy() for x in (a, b)]
+        sketch = [np.stack(x["sketch"].to_numpy()).astype(np.int64).view(np.uint64) for x in (a, b)]
+        near = groups[0][:, None] != groups[1][None]
+        for i in range(len(a)):
+            near[i] &= np.bitwise_count(sketch[1] ^ sketch[0][i]).sum(axis=1) <= limit
+        rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        links = []
+        if len(rows):
+            sets = [[np.frombuffer(m, np.uint64) for m in x["members"].to_numpy()[k]] for x, k in ((a, rows), (b, columns))]
+            shared = shared_counts(*sets)
+            total = np.add.outer(*[np.array([len(m) for m in x]) for x in sets]) - shared
+            linked = near[np.ix_(rows, columns)] & (100 * shared >= percent * total)
+            links = joining_links(linked, groups[0][rows], groups[1][columns])
+        u = a["rep"].to_numpy()[rows[[i for i, _ in links]]] if links else []
+        v = b["rep"].to_numpy()[columns[[j for _, j in links]]] if links else []
+        return pd.DataFrame({"u": u, "v": v}, dtype="int64")
 
-PAIR = "a bigint, digest_a binary, b bigint, digest_b binary"
+    return compare
 
 
 def _pick(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -189,13 +234,18 @@ def _pick(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(side, docs["doc_id"] == side["__id"], how)
 
 
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(rep, digest, members) of the documents with the given ids."""
+    texts = _pick(docs.select("doc_id", "text"), ids, "left_semi")
+    sets = materialise(texts.mapInArrow(_full_sets, "rep bigint, digest binary, members binary"), "candidate-sets")
+    return sets.dropDuplicates(["rep", "digest"])
+
+
 def confirm_pairs(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) among candidate pairs, from the full sets of both."""
     pairs = materialise(pairs.distinct(), "candidates")
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidate-ids")
-    texts = _pick(docs.select("doc_id", "text"), ids, "left_semi")
-    sets = materialise(texts.mapInArrow(_full_sets, "rep bigint, digest binary, members binary"), "candidate-sets")
-    sets = sets.dropDuplicates(["rep", "digest"])
+    sets = full_sets(docs, ids)
     name = lambda side, out: sets.select(F.col("rep").alias(side), F.col("digest").alias(f"digest_{side}"), F.col("members").alias(out))
     both = pairs.join(name("a", "set_a"), ["a", "digest_a"]).join(name("b", "set_b"), ["b", "digest_b"])
     named = both.select(F.col("a").alias("u"), F.col("b").alias("v"), "set_a", "set_b")
@@ -213,18 +263,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     rows = materialise(docs.select("doc_id", "text").mapInArrow(_signatures, SIGNATURE), "signatures")
     known = rows.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = known.groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n")
+    )
     classes = materialise(classes, "classes")
     limit = most_differing(percent / 100)
 
-    buckets = classes.select("rep", "digest", F.posexplode("bands").alias("band", "key"))
-    buckets = buckets.select(F.xxhash64("band", "key").alias("bucket"), "rep", "digest")
-    leads = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "digest")).alias("lead"))
-    leads = leads.where("size > 1")
-    shared = materialise(buckets.join(leads, "bucket"), "buckets")
+    buckets = classes.select("rep", "digest", "n", F.posexplode("bands").alias("band", "key"))
+    buckets = buckets.select(F.xxhash64("band", "key").alias("bucket"), "rep", "digest", "n")
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")).where("size > 1")
+    shared = materialise(buckets.join(sizes, "bucket"), "buckets")
 
-    star = shared.where("digest <> lead.digest").select(
-        F.col("lead.rep").alias("a"), F.col("lead.digest").alias("digest_a"), F.col("rep").alias("b"), F.col("digest").alias("digest_b")
+    scores = shared.groupBy("digest").agg(F.sum("size").alias("score"))
+    ranked = F.struct("score", F.bitwise_not("rep").alias("first"), "digest")
+    leads = shared.join(scores, "digest").groupBy("bucket").agg(F.max(ranked).alias("lead"))
+    star = shared.join(leads, "bucket").where("digest <> lead.digest").select(
+        F.bitwise_not("lead.first").alias("a"), F.col("lead.digest").alias("digest_a"), F.col("rep").alias("b"), F.col("digest").alias("digest_b")
     )
     star = _close(star.distinct(), classes, limit)
     links = materialise(confirm_pairs(star, docs, percent), "links-star")
@@ -238,8 +292,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     rest = _open_buckets(shared, found)
     if not rest.isEmpty():
-        pairs = _block_pairs(rest, classes, limit)
-        links = links.unionByName(confirm_pairs(pairs, docs, percent))
+        links = links.unionByName(_block_links(rest, classes, docs, percent, limit))
         found = components(links)
 
     reps = classes.select("digest", "rep").join(found.withColumnsRenamed({"u": "rep", "v": "least"}), "rep", "left")
@@ -262,23 +315,24 @@ def _close(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
 def _open_buckets(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Members of buckets of three sets or more that lie in several components, with their component."""
     member = shared.where("size > 2").join(found.withColumnsRenamed({"u": "rep", "v": "least"}), "rep", "left")
-    member = member.select("bucket", "size", "rep", "digest", F.coalesce("least", "rep").alias("component"))
+    member = member.select("bucket", "size", "shingles", "rep", "digest", F.coalesce("least", "rep").alias("component"))
     spread = member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     spread = spread.where("low <> high").select("bucket")
     return materialise(member.join(spread, "bucket"), "open-buckets")
 
 
-def _block_pairs(rest: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
-    """Pairs across components of every open bucket that pass the sketch."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    member = rest.join(classes.select("digest", "sketch"), "digest")
+def _block_links(rest: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, limit: int) -> DataFrame:
+    """Links that join components within open buckets, from the full sets of two blocks at a time."""
+    sets = full_sets(docs, materialise(rest.select("rep").distinct(), "open-ids"))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    member = rest.join(classes.select("digest", "sketch"), "digest").join(sets, ["rep", "digest"])
     member = member.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("digest"), "blocks").cast("int"))
     spread = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.select(
         "bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
-        (F.col("mine") > F.col("other")).cast("int").alias("side"), "rep", "digest", "component", "sketch",
+        (F.col("mine") > F.col("other")).cast("int").alias("side"), "rep", "component", "sketch", "members",
     )
-    return spread.groupBy("bucket", "low", "high").applyInPandas(_cross_pairs(limit), PAIR)
+    return spread.groupBy("bucket", "low", "high").applyInPandas(_cross_links(percent, limit), "u bigint, v bigint")
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
