@@ -8,7 +8,7 @@ anchor occurrence are neighbours; the bytes they cover are its context.
 
 * An anchor hash that occurs once is done: none of its windows repeats.
 * Equal contexts repeat as a whole; they are counted, not compared, however many there are.
-* Different contexts under one anchor hash go to an index: the suffixes of a megabyte or two of
+* Different contexts under one anchor hash go to an index: the suffixes of up to a megabyte of
   contexts are sorted, the Burrows-Wheeler transform is cut into runs, and the common prefix
   with the preceding (following) suffix is computed only at run heads (tails). Streaming
   over the text, every other position has one less than the position before it, which
@@ -35,12 +35,12 @@ SPAN = 200
 GRAM = 32
 GRAMS = SPAN - GRAM + 1
 # Bytes of text whose anchors are found at once; places in it need PLACE_BITS bits.
-PIECE = 2_000_000
+PIECE = 1_000_000
 PLACE_BITS = 24
 PLACE = np.uint64((1 << PLACE_BITS) - 1)
 # Contexts an index takes for one anchor hash, and bytes after which an index is closed.
-MOST_CONTEXTS = 3_000
-INDEX_BYTES = 1_000_000
+MOST_CONTEXTS = 1_000
+INDEX_BYTES = 400_000
 # Symbols of a key: seven bytes of nine bits, so that the end of a context is below any byte.
 KEY = 7
 NO_ID = -(1 << 63)
@@ -122,7 +122,7 @@ class RunIndex:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(data)
-        self.end = np.repeat(offsets[1:], np.diff(offsets))
+        self.end = np.repeat(offsets[1:], np.diff(offsets)).astype(np.int32)
         self.levels = self._ranks(data, offsets)
         order = np.argsort(self.levels[-1][1], kind="stable")
         before = data[order - 1].astype(np.int16)
@@ -143,7 +143,7 @@ class RunIndex:
     def _ranks(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, np.ndarray]]:
         """Ranks of all suffixes by their first 7, 14, 28 ... symbols."""
         n = len(data)
-        place = np.arange(n)
+        place = np.arange(n, dtype=np.int32)
         key = np.zeros(n, np.int64)
         symbols = np.append(data.astype(np.int64) + 1, np.zeros(KEY, np.int64))
         for k in range(KEY):
@@ -151,7 +151,7 @@ class RunIndex:
         rank, width = self._dense(key), KEY
         levels = [(width, rank)]
         longest = int(np.diff(offsets).max())
-        while width < longest:
+        while width < longest and rank.max() < n - 1:
             nxt = np.minimum(place + width, n - 1)
             follow = np.where(place + width < self.end, rank[nxt] + 1, 0)
             rank, width = self._dense(rank.astype(np.int64) * (n + 1) + follow), 2 * width
