@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabwarden.llm import decontaminate, html, language, mixing, near_dup, packing, quality, repeats, secrets
+from tabwarden.llm import decontaminate, html, language, licenses, mixing, near_dup, packing, quality, repeats, secrets
+from tabwarden.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +27,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "n_lines", "host_rate", "host_condemned",
+        "n_lines", F.round("host_rate", 6).alias("host_rate"), F.coalesce("host_condemned", F.lit(False)).alias("host_condemned"),
     )
 
 
@@ -31,6 +35,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumn("notices", F.array_join("notices", ","))
+
+
 def op6_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -56,11 +65,10 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
+    "op5_license_scan": op5_license_scan,
     "op6_pack_tokens": op6_pack_tokens,
     "op7_remove_repeats": op7_remove_repeats,
     "op8_language": op8_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_page_text": op10_page_text,
 }
-
-ORACLE_SQL: dict[str, str] = {}
