@@ -6,7 +6,7 @@ arithmetic only, so the same table can be had from SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwarden.spec import PHISHING
@@ -51,10 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def site_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def site_traits(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """The web-site table, with more columns computed from the orders where asked for."""
     orders = table(spark, sf_dir, "orders")
     features = [F.expr(feature_sql(i)).alias(c) for i, c in enumerate(FEATURES)]
-    return orders.select(F.col("o_orderkey").alias("id"), *features, F.expr(label_sql()).alias("Result"))
+    return orders.select(F.col("o_orderkey").alias("id"), *features, F.expr(label_sql()).alias("Result"), *more)
 
 
 # Part rows with two columns that have gaps, for imputation.
@@ -72,20 +73,3 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("CASE WHEN p_partkey % 75 = 0 THEN NULL ELSE p_retailprice END").alias("x2"),
         F.length("p_name").alias("x3"),
     )
-
-
-def one_rule_predictions(df: DataFrame, keep: list[str]) -> DataFrame:
-    """(model, position, label, prediction): every feature as a model of its own, which
-    predicts 1 where the feature is positive."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("model"),
-                F.lit(i).alias("position"),
-                F.when(F.col(c) > 0, F.lit(1)).otherwise(F.lit(0)).alias("prediction"),
-            )
-            for i, c in enumerate(FEATURES)
-        ]
-    )
-    label = F.when(F.col("Result") == 1, F.lit(1)).otherwise(F.lit(0)).alias("label")
-    return df.select(*keep, label, F.inline(cells))

@@ -11,9 +11,9 @@ from pyspark.sql.window import Window
 from tabwarden.session import materialise
 
 # Up to this many distinct keys one ordered window per group is enough.
-WINDOW_KEYS = 2_000_000
+WINDOW_KEYS = 100_000
 # Beyond it, the keys are cut into ordered slices of about this many.
-SLICE_KEYS = 1_000_000
+SLICE_KEYS = 100_000
 
 
 def running_counts(
@@ -83,3 +83,20 @@ def _sliced(df, key, counts, group, descending, following, slices) -> DataFrame:
     kept = [group, key, *counts, *[f"cum_{c}" for c in counts], *[f"total_{c}" for c in counts]]
     kept += [f"next_{c}" for c in counts] if following else []
     return joined.withColumns(out).select(*kept)
+
+
+def ordered_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Add the place of every row, from 1, in the given order.
+
+    Rows are range-partitioned into ordered slices and ranked inside them; only one count per
+    slice reaches the driver, to be added up.
+    """
+    cut = materialise(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), "ranked-slices")
+    before, offsets = 0, []
+    for r in cut.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).orderBy("_slice").collect():
+        offsets.append((r["_slice"], before))
+        before += r["n"]
+    offsets = df.sparkSession.createDataFrame(offsets, "_slice int, _before bigint")
+    inside = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    ranked = cut.join(F.broadcast(offsets), "_slice").withColumn(name, inside + F.col("_before"))
+    return ranked.drop("_slice", "_before")

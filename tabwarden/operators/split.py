@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabwarden.functions import order_key
+from tabwarden.operators.cumulative import ordered_rank
 from tabwarden.session import materialise
 
 TEST_SIZE = 0.2
 SEED = 42
 FOLDS = 3
-# Hex digits of the order key in the histogram: 65536 buckets per class.
+# Hex digits of the order key in a histogram: 65536 buckets.
 DIGITS = 4
 # Per-class tables are broadcast up to this many classes and shuffled beyond.
 BROADCAST_CLASSES = 10_000
@@ -24,21 +26,19 @@ def test_quotas(sizes: DataFrame, test_size: float = TEST_SIZE) -> DataFrame:
     """(class_key, cut, target): test rows per class, ceil(test_size * N) in all.
 
     Each class keeps its share of the training rows by largest remainder; an equal
-    remainder goes to the smaller label. One row per class, so the windows are small.
+    remainder goes to the smaller label. Two sums reach the driver; where classes compete for
+    the seats left over, they are ranked in ordered slices.
     """
-    everything = Window.partitionBy(F.lit(1))
-    remainder = F.col("n").cast("decimal(38,0)") * F.col("n_train") % F.col("total")
-    ranked = (
-        sizes.withColumn("total", F.sum("n").over(everything))
-        .withColumn("n_train", F.col("total") - F.ceil(F.round(F.col("total") * test_size, 6)))
-        .withColumn("remainder", remainder)
-        .withColumn("base", (F.col("n").cast("decimal(38,0)") * F.col("n_train") - F.col("remainder")) / F.col("total"))
-        .withColumn("base", F.round("base", 0).cast("bigint"))
-        .withColumn("spare", F.col("n_train") - F.sum("base").over(everything))
-        .withColumn("seat", F.row_number().over(everything.orderBy(F.desc("remainder"), F.asc("label"))))
-    )
-    quota = F.col("n") - F.col("base") - F.when(F.col("seat") <= F.col("spare"), F.lit(1)).otherwise(F.lit(0))
-    return ranked.select("class_key", F.lit(0).alias("cut"), quota.cast("bigint").alias("target"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    n_train = total - ceil(round(total * test_size, 6))
+    product = F.col("n").cast("decimal(38,0)") * n_train
+    shares = sizes.withColumn("remainder", product % total if total else F.lit(0).cast("decimal(38,0)"))
+    base = F.round((product - F.col("remainder")) / total, 0).cast("bigint") if total else F.lit(0).cast("bigint")
+    shares = shares.withColumn("base", base)
+    spare = n_train - (shares.agg(F.sum("base")).first()[0] or 0)
+    seated = ordered_rank(shares, [F.col("remainder").desc(), F.col("label").asc()], "seat") if spare else shares.withColumn("seat", F.lit(1))
+    quota = F.col("n") - F.col("base") - F.when(F.col("seat") <= spare, F.lit(1)).otherwise(F.lit(0))
+    return seated.select("class_key", F.lit(0).alias("cut"), quota.cast("bigint").alias("target"))
 
 
 test_quotas.__test__ = False
@@ -63,29 +63,36 @@ def rank_intervals(
 
     Rows rank within their class by (md5 of seed and key, key). No class is ever sorted:
     a histogram of the md5 order, combined map-side, pins each cut down to one of 65536
-    buckets, and only the rows of that bucket are ranked. ``key`` must be unique.
+    buckets, a second one inside it to one of 65536 again, and only the rows there are
+    ranked. ``key`` must be unique. A null stratum is a class of its own.
     """
-    class_key = F.coalesce(stratum.cast("string"), F.lit("<null>"))
-    slim = df.select(F.col(key).alias("key"), stratum.alias("label"), class_key.alias("class_key")).withColumn(
-        "order", order_key(F.col("key"), seed)
-    )
-    buckets = slim.groupBy("class_key", F.substring("order", 1, DIGITS).alias("bucket"))
-    histogram = materialise(buckets.agg(F.count(F.lit(1)).alias("n"), F.first("label").alias("label")), "order-histogram")
+    class_key = F.when(stratum.isNull(), F.lit("null")).otherwise(F.concat(F.lit("is "), stratum.cast("string")))
+    slim = df.select(F.col(key).alias("key"), stratum.alias("label"), class_key.alias("class_key"))
+    slim = materialise(slim.withColumn("order", order_key(F.col("key"), seed)), "order-keys")
+    digits = lambda level: F.substring("order", 1 + level * DIGITS, DIGITS)
+
+    histogram = slim.groupBy("class_key", digits(0).alias("bucket"))
+    histogram = materialise(histogram.agg(F.count(F.lit(1)).alias("n"), F.first("label").alias("label")), "order-histogram")
     sizes = histogram.groupBy("class_key").agg(F.sum("n").alias("n"), F.first("label").alias("label"))
-    small = sizes.count() <= BROADCAST_CLASSES
-    side = F.broadcast if small else (lambda d: d)
+    sizes = materialise(sizes, "class-sizes")
+    side = F.broadcast if sizes.count() <= BROADCAST_CLASSES else (lambda d: d)
 
     upto = F.sum("n").over(Window.partitionBy("class_key").orderBy("bucket"))
-    marks = (
-        histogram.withColumn("upto", upto)
-        .join(side(cuts(sizes)), "class_key")
-        .where((F.col("upto") >= F.col("target")) & (F.col("upto") - F.col("n") < F.col("target")))
-        .select("class_key", "cut", "bucket", (F.col("target") - F.col("upto") + F.col("n")).alias("place"))
-    )
+    place = (F.col("target") - F.col("upto") + F.col("n")).alias("place")
+    holds = (F.col("upto") >= F.col("target")) & (F.col("upto") - F.col("n") < F.col("target"))
+    counted = histogram.withColumn("upto", upto)
+    marks = counted.join(side(cuts(sizes)), "class_key").where(holds).select("class_key", "cut", "bucket", place)
+    marks = materialise(marks, "order-marks")
+
+    near = slim.withColumn("bucket", digits(0)).join(side(marks), ["class_key", "bucket"])
+    near = near.select("class_key", "cut", F.col("place").alias("target"), "key", "order", digits(1).alias("fine"))
+    fine = near.groupBy("class_key", "cut", "target", "fine").agg(F.count(F.lit(1)).alias("n"))
+    fine = fine.withColumn("upto", F.sum("n").over(Window.partitionBy("class_key", "cut").orderBy("fine")))
+    fine = fine.where(holds).select("class_key", "cut", "fine", place)
+
     within = Window.partitionBy("class_key", "cut").orderBy("order", "key")
     last_inside = (
-        slim.withColumn("bucket", F.substring("order", 1, DIGITS))
-        .join(side(marks), ["class_key", "bucket"])
+        near.join(side(fine), ["class_key", "cut", "fine"])
         .withColumn("rank", F.row_number().over(within))
         .where(F.col("rank") == F.col("place"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabwarden.fixtures import FEATURES, PARTS_SQL, site_traits_sql
+from tabwarden.fixtures import FEATURES, LABEL_WEIGHTS, PARTS_SQL, site_traits_sql
 from tabwarden.queries import DRIFT_COLUMNS, DRIFT_SINCE, ORDERS_SINCE, RUN_ID, TABLES
 from tabwarden.spec import PHISHING
 
@@ -139,11 +139,8 @@ FROM varied WHERE Result IS NULL OR Result NOT IN (-1, 1) GROUP BY 1, 2
 
 def _gate() -> str:
     """The later set of a variant holds a wrong label if any of its rows was changed."""
-    message = {
-        "columns": "Test dataframe does not contain all columns.",
-        "numeric": "Test dataframe numerical columns validation failed.",
-        "target": "Test dataframe target column validation failed.",
-    }
+    width = {"column_missing": len(NAMES) - 1, "column_added": len(NAMES) + 1}
+    wrong = "(SELECT count(*) FROM later WHERE id % 1000 = 0)"
     clean = "(SELECT count(*) = 0 FROM later WHERE id % 1000 = 0)"
     rows = []
     for v in VARIANTS:
@@ -152,6 +149,11 @@ def _gate() -> str:
         target = "NULL" if numeric in ("NULL", "false") else (clean if v.startswith("label") else "true")
         earlier = {"columns": "true", "numeric": "NULL" if numeric == "NULL" else "true", "target": "NULL" if target == "NULL" else "true"}
         found = {"columns": columns, "numeric": numeric, "target": target}
+        message = {
+            "columns": f"'test set: {width.get(v)} columns instead of {len(NAMES)}'",
+            "numeric": "'test set: a declared numeric column is missing or not numeric'",
+            "target": f"'test set: ' || {wrong} || ' rows without an allowed label'",
+        }
         for i, check in enumerate(("columns", "numeric", "target")):
             rows.append(
                 f"SELECT '{v}' AS variant, {2 * i + 1} AS position, '{check}' AS check_name, 'train' AS dataset, "
@@ -159,7 +161,7 @@ def _gate() -> str:
             )
             rows.append(
                 f"SELECT '{v}', {2 * i + 2}, '{check}', 'test', CAST({found[check]} AS BOOLEAN), "
-                f"CASE WHEN NOT CAST({found[check]} AS BOOLEAN) THEN '{message[check]}' END"
+                f"CASE WHEN NOT CAST({found[check]} AS BOOLEAN) THEN {message[check]} END"
             )
     return f"""
     WITH {TRAITS},
@@ -172,16 +174,26 @@ def _gate() -> str:
     """
 
 
+def _routing() -> str:
+    rows = []
+    for v in VARIANTS:
+        bad = "(SELECT count(*) FROM dated WHERE later AND id % 1000 = 0)"
+        status = {"good": "'valid'"}.get(v, f"CASE WHEN {bad} = 0 THEN 'valid' ELSE 'invalid' END" if v.startswith("label") else "'invalid'")
+        rows += [f"SELECT '{v}' AS variant, {status} AS status, '{d}' AS dataset, count(*) FILTER (WHERE {w}) AS n_rows FROM dated" for d, w in (("train", "NOT later"), ("test", "later"))]
+    return f"WITH dated AS (SELECT o_orderkey AS id, o_orderdate >= TIMESTAMP '{ORDERS_SINCE}' AS later FROM orders) " + _union(rows)
+
+
 # --- drift ------------------------------------------------------------------------------
 
 
-def _ks() -> str:
-    """CTEs ending in ``ks``: the statistic of every drift column."""
+def _ks(more: str | None = None) -> str:
+    """CTEs ending in ``tested``: the statistic of every drift column, and of the rows of ``more``."""
     long = _union(
         [
             f"SELECT '{c}' AS column_name, {c} AS value, l_shipdate >= TIMESTAMP '{DRIFT_SINCE}' AS later FROM lineitem WHERE {c} IS NOT NULL"
             for c in DRIFT_COLUMNS
         ]
+        + ([more] if more else [])
     )
     return f"""
     long AS ({long}),
@@ -209,7 +221,59 @@ def _ks() -> str:
 
 
 DRIFT_ROWS = "round(d, 6) AS d, round(p_value, 6) AS p_value"
-DRIFT_REPORT = f"WITH {_ks()} SELECT column_name, n1, n2, {DRIFT_ROWS}, p_value < 0.05 AS drift_status, CAST(0.05 AS DOUBLE) AS threshold FROM tested"
+SOME_MISSING = f"(SELECT l_quantity AS v, l_linenumber AS line, l_shipdate >= TIMESTAMP '{DRIFT_SINCE}' AS later FROM lineitem)"
+DRIFT_REPORT = f"""
+WITH {_ks(f"SELECT 'some_missing', v, later FROM {SOME_MISSING} WHERE v IS NOT NULL AND (NOT later OR line > 1)")},
+rates AS (SELECT CAST(count(*) FILTER (WHERE later AND line <= 1) AS DOUBLE) / count(*) FILTER (WHERE later) AS rate FROM {SOME_MISSING})
+SELECT column_name, n1, n2, {DRIFT_ROWS}, 0.0 AS null_rate1,
+       CASE WHEN column_name = 'some_missing' THEN round((SELECT rate FROM rates), 6) ELSE 0.0 END AS null_rate2,
+       p_value < 0.05 AS drift_status, CAST(0.05 AS DOUBLE) AS threshold
+FROM tested
+UNION ALL
+SELECT 'all_missing', 0, 0, NULL, NULL, 1.0, 1.0, false, CAST(0.05 AS DOUBLE)
+"""
+KS_EXACT = """
+WITH RECURSIVE
+long AS (
+  SELECT 'p_size' AS column_name, CAST(p_size AS DOUBLE) AS value, p_type = 'ECONOMY' AS later FROM part WHERE p_size IS NOT NULL
+  UNION ALL SELECT 'p_retailprice', CAST(p_retailprice AS DOUBLE), p_type = 'ECONOMY' FROM part WHERE p_retailprice IS NOT NULL
+),
+steps AS (SELECT column_name, value, count(*) FILTER (WHERE NOT later) AS c1, count(*) FILTER (WHERE later) AS c2 FROM long GROUP BY ALL),
+sums AS (
+  SELECT column_name, CAST(sum(c1) OVER upto AS BIGINT) AS s1, CAST(sum(c2) OVER upto AS BIGINT) AS s2,
+         CAST(sum(c1) OVER whole AS BIGINT) AS n1, CAST(sum(c2) OVER whole AS BIGINT) AS n2
+  FROM steps
+  WINDOW upto AS (PARTITION BY column_name ORDER BY value ROWS UNBOUNDED PRECEDING), whole AS (PARTITION BY column_name)
+),
+ks AS (SELECT column_name, max(n1) AS n1, max(n2) AS n2, max(abs(s1 * n2 - s2 * n1)) AS gap FROM sums GROUP BY column_name),
+lattice AS (
+  SELECT column_name, greatest(n1, n2) AS big, least(n1, n2) AS small, CAST(least(n1, n2) // gcd(n1, n2) AS DOUBLE) AS a,
+         CAST(greatest(n1, n2) // gcd(n1, n2) AS DOUBLE) AS b, CAST(gap // gcd(n1, n2) AS DOUBLE) AS reach
+  FROM ks
+),
+band AS (
+  SELECT column_name, j, CAST(greatest(0, floor((j * b - reach) / a) + 1) AS BIGINT) AS low,
+         CAST(least(big, ceil((j * b + reach) / a) - 1) AS BIGINT) AS high
+  FROM lattice, LATERAL (SELECT unnest(range(0, small + 1)) AS j)
+),
+inside AS (
+  SELECT column_name, 0 AS j, [1.0::DOUBLE for i in range(0, high + 1)] AS row, 0.0::DOUBLE AS scale, CAST(0 AS BIGINT) AS first
+  FROM band WHERE band.j = 0
+  UNION ALL
+  SELECT column_name, j, [v / peak for v in row], scale + ln(peak), low FROM (
+    SELECT *, list_max(row) AS peak FROM (
+      SELECT s.column_name, b.j, s.scale, b.low,
+             (SELECT list(total ORDER BY i) FROM (
+                SELECT i, sum(COALESCE(s.row[i - s.first + 1], 0.0)) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) AS total
+                FROM (SELECT unnest(range(b.low, b.high + 1)) AS i))) AS row
+      FROM inside s JOIN band b ON b.column_name = s.column_name AND b.j = s.j + 1
+    )
+  )
+)
+SELECT k.column_name, k.n1, k.n2, round(CAST(gap AS DOUBLE) / n1 / n2, 6) AS d,
+       round(1 - exp(ln(row[len(row)]) + scale - (lgamma(n1 + n2 + 1) - lgamma(n1 + 1) - lgamma(n2 + 1))), 6) AS p_value
+FROM ks k JOIN inside i ON i.column_name = k.column_name AND i.j = least(n1, n2)
+"""
 DRIFT_SUMMARY = f"""
 WITH {_ks()}
 SELECT count(*) AS total_columns_checked, bool_or(p_value < 0.05) AS drift_detected, CAST(0.05 AS DOUBLE) AS threshold_used,
@@ -458,8 +522,71 @@ SELECT name, CASE WHEN place <= 3 THEN 'keep' ELSE 'drop' END AS action FROM run
 
 EVERY_ROW_SAME = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM orders"
 
-# Fits and searches are iterative, and the exact p-value counts paths: they have no SQL
-# form here and are tested against brute force and fixed results instead.
+
+
+# --- models: a fit is held to facts that follow from the table alone ---------------------------------------
+
+FACTS = """count(*) AS n_rows, count(*) FILTER (WHERE Result = 1) AS n_positive, CAST(0 AS BIGINT) AS n_unpredicted,
+       CAST(0 AS BIGINT) AS n_off, true AS beats_majority"""
+
+
+def _fit(family: str) -> str:
+    return (
+        f"WITH {TRAITS}, {_split('traits', 'id', 'Result')} "
+        f"SELECT split, {FACTS}, '{family}' AS family FROM traits JOIN split_rows ON id = k GROUP BY split"
+    )
+
+
+def _boost(rounds: int = 3) -> str:
+    """Boosting by one-split trees, each round the argmin of the weighted impurity."""
+    impurity = lambda p, t: f"CASE WHEN {t} > 0 THEN 2 * {p} * ({t} - {p}) / {t} ELSE 0 END"
+    sign = lambda p, t: f"CASE WHEN {p} > {t} - {p} THEN 1 ELSE -1 END"
+    steps = [
+        f"r0 AS (SELECT id, [{', '.join(f'COALESCE({c}, 0)' for c in FEATURES)}] AS xs, Result AS y, CAST(0 AS DOUBLE) AS vote, "
+        "CAST(0 AS DOUBLE) AS total FROM traits)"
+    ]
+    for k in range(rounds):
+        steps += [
+            f"l{k} AS (SELECT unnest(range(0, {len(FEATURES)})) AS f, unnest(xs) AS v, y, exp(-0.5 * y * vote) AS w FROM r{k})",
+            f"a{k} AS (SELECT f, v, COALESCE(sum(w) FILTER (WHERE y = 1), 0) AS pos, sum(w) AS tot FROM l{k} GROUP BY f, v)",
+            f"c{k} AS (SELECT f, v, lead(v) OVER o AS nv, sum(pos) OVER o AS lp, sum(tot) OVER o AS lt, sum(pos) OVER a AS p, sum(tot) OVER a AS t "
+            f"FROM a{k} WINDOW o AS (PARTITION BY f ORDER BY v), a AS (PARTITION BY f))",
+            f"b{k} AS (SELECT f, (v + nv) / 2.0 AS cut, round(({impurity('lp', 'lt')} + {impurity('(p - lp)', '(t - lt)')}) / t, 12) AS impurity, "
+            f"{sign('lp', 'lt')} AS low, {sign('(p - lp)', '(t - lt)')} AS high, "
+            f"(least(lp, lt - lp) + least(p - lp, t - lt - (p - lp))) / t AS err FROM c{k} WHERE nv IS NOT NULL ORDER BY impurity, f, cut LIMIT 1)",
+            f"r{k + 1} AS (SELECT id, xs, y, vote + ln((1 - err) / err) * CASE WHEN xs[f + 1] <= cut THEN low ELSE high END AS vote, "
+            f"total + ln((1 - err) / err) AS total FROM r{k}, b{k})",
+        ]
+    return f"WITH {TRAITS}, {', '.join(steps)} SELECT id, CAST(vote > 0 AS INTEGER) AS prediction, round(1 / (1 + exp(-vote / total)), 6) AS p FROM r{rounds}"
+
+
+def _searched(counts: dict[str, int]) -> str:
+    rows = [f"SELECT '{m}' AS model, {n} AS n_candidates, true AS beats_majority, true AS folds_scored, true AS best_is_first" for m, n in counts.items()]
+    return _union(rows)
+
+
+MODEL_INFO = _union(
+    [
+        f"SELECT '{c}' AS feature, {len(FEATURES)} AS n_features, true AS has_probability, true AS shares_sum_to_one, "
+        f"{str(c in LABEL_WEIGHTS).lower()} AS leans_on_it"
+        for c in FEATURES
+    ]
+)
+TRAINING_RUN = f"""
+WITH {TRAITS}, {_split('traits', 'id', 'Result')}
+SELECT 'models compared' AS fact, 5 AS n
+UNION ALL SELECT 'columns tested for drift', {len(NAMES)}
+UNION ALL SELECT 'columns drifted', 0
+UNION ALL SELECT 'training rows', count(*) FROM split_rows WHERE split = 'train'
+UNION ALL SELECT 'test rows', count(*) FROM split_rows WHERE split = 'test'
+UNION ALL SELECT 'gates', 2
+UNION ALL SELECT 'gates passed', 2
+UNION ALL SELECT 'best model is a compared one', 1
+UNION ALL SELECT 'tracked metrics', 5
+UNION ALL SELECT 'test score above the gate', 1
+UNION ALL SELECT 'rows the stored model scores', count(*) FROM traits
+"""
+
 ORACLE_SQL = {
     "scan_clean": _scan_clean(),
     "na_to_null": _bigint_traits(),
@@ -478,8 +605,10 @@ ORACLE_SQL = {
     "check_target": _check_target(),
     "target_violations": TARGET_VIOLATIONS,
     "validation_gate": _gate(),
+    "routing": _routing(),
     "ks_stat": f"WITH {_ks()} SELECT column_name, n1, n2, round(d, 9) AS d FROM tested",
     "ks_pvalue_asymp": f"WITH {_ks()} SELECT column_name, n1, n2, {DRIFT_ROWS} FROM tested",
+    "ks_pvalue_exact": KS_EXACT,
     "drift_report": DRIFT_REPORT,
     "drift_summary": DRIFT_SUMMARY,
     "stratified_split": STRATIFIED_SPLIT,
@@ -505,6 +634,18 @@ ORACLE_SQL = {
     "quality_gates": QUALITY_GATES,
     "run_tracking": _tracking(),
     "run_retention": RUN_RETENTION,
+    "fit_tree": _fit("Decision Tree"),
+    "fit_forest": _fit("Random Forest"),
+    "fit_gbt": _fit("Gradient Boosting"),
+    "fit_logistic": _fit("Logistic Regression"),
+    "fit_adaboost": _fit("AdaBoost"),
+    "adaboost_scores": _boost(),
+    "grid_search": _searched({"Decision Tree": 8}),
+    "random_search": _searched({"Logistic Regression": 13}),
+    "family_search": _searched({"Decision Tree": 4, "Random Forest": 4, "Gradient Boosting": 2, "Logistic Regression": 2, "AdaBoost": 2}),
+    "batch_score": f"WITH {TRAITS} SELECT {FACTS} FROM traits",
+    "model_info": MODEL_INFO,
+    "training_run": TRAINING_RUN,
     "model_roundtrip": EVERY_ROW_SAME,
     "stream_score": EVERY_ROW_SAME,
 }

@@ -19,6 +19,7 @@ def local_session(cores: str = "8", app: str = "tabwarden") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -42,9 +43,25 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_own: dict[str, str] = {}
+
+
+def own_folder(spark: SparkSession) -> str:
+    """The folder of this application's stage tables; it is removed when the application ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        folder = f"{scratch_dir(spark)}/tabwarden/{app}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _own[app] = folder
+    return _own[app]
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one stage table in the shared folder."""
-    return f"{scratch_dir(spark)}/tabwarden/{name}-{uuid.uuid4().hex}"
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

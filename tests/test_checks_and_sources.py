@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,10 +86,31 @@ def test_append_twice(spark, tmp_path):
     for _ in range(2):
         assert append_load(df.repartition(3), name, str(tmp_path / "t")) == 100
     got = spark.read.table(name)
-    assert got.columns == ["id", "a", "created_at"] and got.count() == 200
+    assert got.columns == ["id", "a", "created_at", "load_id"] and got.count() == 200
     assert got.select("id").distinct().count() == 200 and got.where("created_at is null").isEmpty()
     probed = {r["column_name"]: r["n_rows"] for r in probe_tables(spark, [name, "no_such_table"]).collect()}
-    assert probed == {"id": 200, "a": 200, "created_at": 200, None: None}
+    assert probed == {"id": 200, "a": 200, "created_at": 200, "load_id": 200, None: None}
+
+
+def test_loads_side_by_side_share_no_id(spark, tmp_path):
+    df = spark.range(500).select(F.col("id").alias("a`b"))
+    name, folder = f"side_{tmp_path.name.replace('-', '_')}", str(tmp_path / "it's here")
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(lambda _: append_load(df.repartition(4), name, folder), range(6)))
+    got = spark.read.table(name)
+    assert counts == [500] * 6 and got.count() == 3000
+    assert got.select("id").distinct().count() == 3000 and got.select("load_id").distinct().count() == 6
+
+
+def test_a_failed_load_leaves_nothing_to_see(spark, tmp_path):
+    name = f"broken_{tmp_path.name.replace('-', '_')}"
+    good = spark.range(10).select(F.col("id").alias("a"))
+    assert append_load(good, name, str(tmp_path / "t")) == 10
+    bad = good.select(F.when(F.col("a") == 7, F.raise_error(F.lit("stop"))).otherwise(F.col("a")).alias("a"))
+    with pytest.raises(Exception, match="stop"):
+        append_load(bad, name, str(tmp_path / "t"))
+    assert append_load(good, name, str(tmp_path / "t")) == 10
+    assert spark.read.table(name).count() == 20
 
 
 def test_jdbc_settings(monkeypatch):

@@ -60,3 +60,26 @@ def test_folds_are_even_in_every_class(spark, sf):
         sizes.setdefault(r["quality"], {})[r["fold"]] = r["count"]
     for by_fold in sizes.values():
         assert set(by_fold) == {0, 1, 2} and max(by_fold.values()) - min(by_fold.values()) <= 1
+
+
+def test_null_is_not_the_text_null(spark):
+    label = F.when(F.col("id") < 50, F.lit(None)).when(F.col("id") < 100, F.lit("<null>")).otherwise(F.lit("null"))
+    df = spark.range(150).withColumn("y", label)
+    got = stratified_split(df, "id", "y").where("split = 'test'").groupBy("y").count().collect()
+    assert {r["y"]: r["count"] for r in got} == {None: 10, "<null>": 10, "null": 10}
+    folds = stratified_folds(df, "id", "y").groupBy("y", "fold").count().collect()
+    assert len(folds) == 9 and all(16 <= r["count"] <= 17 for r in folds)
+
+
+def test_many_classes_without_one_task_for_all(spark):
+    df = spark.range(150_000).withColumn("y", F.col("id") % 100_000)
+    got = stratified_split(df, "id", "y")
+    sizes = {r["split"]: r["count"] for r in got.groupBy("split").count().collect()}
+    assert sizes == {"test": 30_000, "train": 120_000}
+    assert "SinglePartition" not in got._jdf.queryExecution().toString()
+
+
+def test_one_hot_class_is_cut_exactly(spark):
+    df = spark.range(300_000).withColumn("y", F.lit("hot"))
+    got = stratified_folds(df, "id", "y", 3)
+    assert [r["count"] for r in got.groupBy("fold").count().orderBy("fold").collect()] == [100_000] * 3
