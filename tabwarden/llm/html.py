@@ -46,7 +46,7 @@ KEPT_ROOTS = frozenset("html body main article".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*)(?:>|\Z)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -98,7 +98,8 @@ def lines_of(page: str) -> list[Line]:
     place = 0
 
     def add(text: str) -> None:
-        if text:
+        # Inline elements can be boilerplate inside a line that is not.
+        if text and (lines[-1].boilerplate or not skip):
             lines[-1].parts.append(text)
             if not links:
                 lines[-1].plain += len(text) - text.count(" ")
@@ -164,7 +165,8 @@ def main_lines(weights: list[int]) -> list[bool]:
     stretches, i = [], 0
     while i < n:
         if sums[i] > SURGE:
-            begin = i
+            # The window surges before the text does.
+            begin = next(k for k in range(i, n) if weights[k])
             while i < n and sums[i] > 0:
                 i += 1
             stretches.append((begin, i, sum(weights[begin:i])))

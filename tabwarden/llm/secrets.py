@@ -2,8 +2,8 @@
 
 Two character models give the chance of each character after the one before it: one of random
 strings, trained on the values the patterns find (all of them), and one of ordinary
-identifiers, trained on the long words of a bounded sample of texts (``SAMPLE`` rows). A
-token that no pattern covers is a secret if its mean log-likelihood ratio per transition
+identifiers, trained on the words that at least two of a bounded sample of texts (``SAMPLE``
+rows) share. A token that no pattern covers is a secret if its mean log-likelihood ratio per transition
 passes ``RATIO``. Everything runs as DataFrame functions.
 """
 
@@ -113,8 +113,10 @@ def train(docs: DataFrame) -> list[float]:
     random = labelled.select(F.explode(values).alias("v")).select(F.regexp_replace("v", "[^A-Za-z0-9+/_-]", "").alias("s"))
     share = min(1.0, SAMPLE / max(1, docs.count()))
     picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < int(share * (1 << 40)))
-    words = picked.select(F.explode(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).alias("s"))
-    words = words.where(~F.col("s").rlike("^[0-9a-f]{16,}$|^AKIA"))
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), ACCESS, " "), HEX, " ")
+    words = picked.select(F.explode(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))).alias("s"), F.xxhash64("text").alias("t"))
+    # Names recur, random strings do not: a word of two different texts is an ordinary one.
+    words = words.groupBy("s").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low <> high").select("s")
     a = _conditional(_transitions(random), 50.0, uniform=True)
     b = _conditional(_transitions(words), 1.0, uniform=False)
     return [x - y for x, y in zip(a, b, strict=True)]

@@ -50,6 +50,8 @@ def test_pages_without_an_article_element_use_surge_and_dive():
         ("<article><ul><li>x<li>y</ul><table><tr><td>1<td>2</table></article>", "x\ny\n1\n2"),
         ("<script>only code", ""), ("<!-- never closed <p>x</p>", ""), ("<nav>menu</nav>", ""),
         ("<ARTICLE><P CLASS=lead>Upper</P></ARTICLE>", "Upper"), ("<article><p hidden>no</p><p>yes</p></article>", "yes"),
+            ("<article><p>a <span class='ad'>buy</span> b <button>go</button>c</p></article>", "a b c"),
+            ('<article><p>a <b title="x>y</b> z</p></article>', "a y z"),
     ],
 )
 def test_small_pages(source, want):
@@ -70,7 +72,7 @@ def test_any_text_is_taken(source):
 
 
 def test_stretches():
-    assert html.main_lines([0, 0, 100, 5, 100, 0, 0, 0, 0, 90, 0]) == [True] * 5 + [False, False] + [True] * 3 + [False]
+    assert html.main_lines([0, 0, 100, 5, 100, 0, 0, 0, 0, 90, 0]) == [False] * 2 + [True] * 3 + [False] * 4 + [True, False]
     assert html.main_lines([]) == []
 
 

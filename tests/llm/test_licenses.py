@@ -5,8 +5,8 @@ import pytest
 from tabwarden.llm import licenses
 
 
-def found(make_docs, texts, **options):
-    docs = make_docs(list(enumerate(texts)), extra=["digest", "license", "lines"])
+def found(make_docs, rows, **options):
+    docs = make_docs(list(enumerate(rows)), extra=["digest", "license", "lines"])
     return {r.doc_id: r for r in licenses.find_licenses(docs, **options).collect()}
 
 
