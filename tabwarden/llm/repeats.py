@@ -41,6 +41,8 @@ PLACE = np.uint64((1 << PLACE_BITS) - 1)
 # Contexts an index takes for one anchor hash, and bytes after which an index is closed.
 MOST_CONTEXTS = 3_000
 INDEX_BYTES = 400_000
+# Documents turned into Python objects at once.
+ROWS = 500
 # Symbols of a key: seven bytes of nine bits, so that the end of a context is below any byte.
 KEY = 7
 NO_ID = -(1 << 63)
@@ -277,6 +279,13 @@ ARROW_STAGE = pa.schema(
 )
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, as each row becomes Python objects."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            yield batch.slice(i, ROWS)
+
+
 def _finished(doc: dict, data: bytes, starts: np.ndarray, ends: np.ndarray) -> dict:
     removed, spans, rest = cut(data, starts, ends)
     return doc | {"n_bytes": len(data), "n_removed": removed, "n_spans": spans, "kept_sha256": hashlib.sha256(rest).hexdigest()}
@@ -285,7 +294,7 @@ def _finished(doc: dict, data: bytes, starts: np.ndarray, ends: np.ndarray) -> d
 def _staged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents beside the anchors they share: those whose marks are all known are finished, the
     others wait; contexts for the index become rows of their own."""
-    for batch in batches:
+    for batch in _small(batches):
         rows = []
         for r in batch.to_pylist():
             data = (r["text"] or "").encode()
@@ -310,7 +319,7 @@ RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_
 def _completed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     schema = pa.schema([ARROW_STAGE.field(n) for n in names])
-    for batch in batches:
+    for batch in _small(batches):
         rows = []
         for r in batch.to_pylist():
             more = r["marks"] or []
