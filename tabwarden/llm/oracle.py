@@ -23,7 +23,7 @@ def quality_sql() -> str:
     )
     spread = lambda r: f"(v_{r} - m_{r} * (1 - m_{r}) * hosts / docs)"
     weights = ", ".join(
-        f"CASE WHEN {spread(r)} > 0 THEN least(greatest(m_{r} * (1 - m_{r}) / {spread(r)} - 1, 1.0), 1e6) ELSE 1e6 END AS w_{r}, m_{r}"
+        f"CASE WHEN {spread(r)} > 0 THEN least(greatest(m_{r} * (1 - m_{r}) / {spread(r)} - 1, {quality.LEAST_PRIOR}), 1e6) ELSE 1e6 END AS w_{r}, m_{r}"
         for r in rules
     )
     rates = ", ".join(f"({r} + m_{r} * w_{r}) / (n + w_{r})" for r in rules)

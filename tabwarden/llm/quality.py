@@ -25,6 +25,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 # More than half of a host's documents must fail a rule to condemn the host.
 HOST_LIMIT = 0.5
+# The prior counts for so many documents at least, so that a handful never condemns a host.
+LEAST_PRIOR = 10.0
 # Condemned hosts are broadcast up to this many, and joined by shuffle beyond it.
 BROADCAST_HOSTS = 100_000
 
@@ -163,7 +165,7 @@ def beta_prior(hosts: int, docs: int, failed: int, square: float) -> tuple[float
     chance = mean * (1 - mean)
     between = square / docs - (failed / docs) ** 2 - chance * hosts / docs
     weight = chance / between - 1 if between > 0 else 1e6
-    weight = min(max(weight, 1.0), 1e6)
+    weight = min(max(weight, LEAST_PRIOR), 1e6)
     return mean * weight, (1 - mean) * weight
 
 
