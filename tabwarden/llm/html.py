@@ -5,8 +5,8 @@ has outside links; lines of menus, headers, footers, sidebars, notices, adverts,
 reader comments weigh nothing. Weights are summed over sliding windows of ``WINDOW``
 lines. The main text begins where the sums surge past ``SURGE`` and ends where they dive to
 zero; of several such stretches those count that hold a fair share of the largest. A page that
-marks its article lets only lines inside it weigh anything, and there every line weighs
-enough to surge, so short paragraphs at its ends are kept.
+marks its article has every line inside it kept that is not boilerplate, whatever stands
+between them, so short paragraphs at its ends or around an advert are no matter of weight.
 """
 
 from __future__ import annotations
@@ -189,20 +189,14 @@ def main_text(page: str | None) -> str:
     marked = any(line.article and not line.boilerplate and t for line, t in zip(lines, texts, strict=True))
     # Empty lines between blocks come from the markup; they are no gap in the text.
     rows = [(line, t) for line, t in zip(lines, texts, strict=True) if t]
-    weights = []
-    for line, text in rows:
-        if line.boilerplate or (marked and not line.article):
-            weights.append(0)
-        elif marked:
-            weights.append(SURGE + max(1, len(text)))
-        else:
-            weights.append(line.plain)
-    if not marked and max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0) <= SURGE:
+    if marked:
+        return "\n".join(t for line, t in rows if line.article and not line.boilerplate)
+    weights = [0 if line.boilerplate else line.plain for line, _ in rows]
+    if max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0) <= SURGE:
         # Nothing surges: a page of short lines is its own text.
         return "\n".join(t for (_, t), w in zip(rows, weights, strict=True) if w)
     kept = main_lines(weights)
-    usable = [not line.boilerplate and (line.article or not marked) for line, _ in rows]
-    return "\n".join(t for (_, t), k, u in zip(rows, kept, usable, strict=True) if k and u)
+    return "\n".join(t for (line, t), k in zip(rows, kept, strict=True) if k and not line.boilerplate)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,6 +35,21 @@ def test_comments_and_adverts_inside_the_article():
     assert html.main_text(page(inner)) == WANT
 
 
+@pytest.mark.parametrize(
+    "box",
+    [
+        "<aside><p>Side one</p><p>Side two</p><p>Side three</p><p>Side four</p></aside>",
+        "<form><p>Name</p><p>Mail</p><p>Town</p></form>",
+        "<div class='ad'><p>Buy</p><p>these</p><p>things</p></div>",
+        "<div class='newsletter'><p>News</p><p>by mail</p><p>each week</p><p>for you</p></div>",
+    ],
+)
+def test_long_boxes_near_both_ends_of_an_article(box):
+    lead, close = LONG[:79], "A short end."
+    source = f"<article><h1>Head</h1><p>{lead}</p>{box}<p>{LONG * 20}</p>{box}<p>{close}</p></article>"
+    assert html.main_text(page(source)) == f"Head\n{lead}\n{(LONG * 20).strip()}\n{close}"
+
+
 def test_pages_without_an_article_element_use_surge_and_dive():
     menu = "".join(f"<li><a href='{i}'>Link number {i}</a></li>" for i in range(30))
     body = f"<div><ul>{menu}</ul></div><div><p>{LONG}</p><p>Mid.</p><p>{LONG}</p></div><table><tr><td><a href=y>more</a></td></tr></table>"
