@@ -7,6 +7,9 @@ lines. The main text begins where the sums surge past ``SURGE`` and ends where t
 zero; of several such stretches those count that hold a fair share of the largest. A page that
 marks its article has every line inside it kept that is not boilerplate, whatever stands
 between them, so short paragraphs at its ends or around an advert are no matter of weight.
+
+Words in a class or id mark boilerplate only where they do not speak of the page's frame: an element
+that holds the article, or most of the text, is kept whatever it is called.
 """
 
 from __future__ import annotations
@@ -41,6 +44,16 @@ BOILERPLATE = frozenset(
     "pager popup promo promoted promotion related replies reply respond share sharing sidebar signup skip social "
     "sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+# Those of them that mark the text of others or of the site, however long it is.
+FOREIGN = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments consent cookie cookies disqus gdpr newsletter notice notices "
+    "promo promoted promotion related replies reply respond sponsor sponsored".split()
+)
+# Elements of running text, and the words that mark even those.
+INLINE = frozenset("b i em strong span a h1 h2 h3 p".split())
+INLINE_WORDS = frozenset("ad ads advert cookie comment comments sponsored promo notice".split())
+# Classes that say what stands beside an element.
+BESIDE = re.compile(r"(?<![\w-])(?:has|with|without|no)(?:[-_]|(?=[A-Z]))\S*")
 ROLES = frozenset("banner complementary contentinfo dialog form menu menubar navigation search alert alertdialog".split())
 KEPT_ROOTS = frozenset("html body main article".split())
 
@@ -71,30 +84,102 @@ def attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in ATTRIBUTE.finditer(source)}
 
 
-def is_boilerplate(name: str, source: str, in_article: bool) -> bool:
-    """Whether an element holds something other than main text."""
+@dataclass
+class Element:
+    """An article, or an element that class words mark: how many plain characters it holds."""
+
+    place: int
+    name: str
+    # Inside an element that marks the text of others, or such an element itself.
+    foreign: bool
+    # The marked element next around it.
+    around: Element | None
+    plain: int = 0
+    # Of them, not the text of others; of these, dropped for a class word.
+    own: int = 0
+    dropped: int = 0
+    # Characters that are kept, those of links too.
+    kept: int = 0
+    end: int = 0
+
+    def count(self, sums: list[int], sign: int) -> None:
+        plain, own, dropped, kept = sums
+        self.plain += sign * plain
+        self.own += sign * own
+        self.dropped += sign * dropped
+        self.kept += sign * kept
+
+    def size(self) -> int:
+        return self.plain if self.foreign else self.own
+
+
+@dataclass
+class Reading:
+    """The blocks of a page in order, empty ones too; its articles and marked elements."""
+
+    lines: list[Line]
+    articles: list[Element]
+    marks: list[Element]
+    page: Element
+
+    def body(self) -> Element:
+        """The element that holds the text: the largest article, the narrowest of several that hold most of it."""
+        found = [a for a in self.articles if a.plain]
+        found = [a for a in found if not a.foreign] or found
+        most = max((a.size() for a in found), default=0)
+        return min((a for a in found if 2 * a.size() >= most), key=Element.size, default=self.page)
+
+    def frames(self) -> frozenset[int]:
+        """Places of the marked elements that frame the text: they hold an article of fair size or most of the text."""
+        body = self.body()
+        frames, element = set(), body.around
+        while element:
+            frames.add(element.place)
+            element = element.around
+        for a in self.articles:
+            element = a.around
+            if a.size() > 0 and not a.foreign and a.size() >= SHARE * body.size():
+                while element and element.place not in frames:
+                    frames.add(element.place)
+                    element = element.around
+        frames |= {m.place for m in self.marks if body.place <= m.place < body.end and not m.foreign and 2 * m.own > body.own}
+        return frozenset(frames)
+
+
+def attributes(source: str) -> dict[str, str]:
+    return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in ATTRIBUTE.finditer(source)}
+
+
+def judge(name: str, source: str, in_article: bool) -> tuple[bool, frozenset[str]]:
+    """Whether an element holds something other than main text by its kind, and the class words that say so."""
     if name in SKIPPED or name == "footer" or (name == "header" and not in_article):
-        return True
+        return True, frozenset()
     if not source.strip() or name in KEPT_ROOTS:
-        return False
+        return False, frozenset()
     found = attributes(source)
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
-        return True
+        return True, frozenset()
     if found.get("role", "").lower() in ROLES:
-        return True
-    words = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()
-    return not BOILERPLATE.isdisjoint(WORD.findall(words)) and name not in {"b", "i", "em", "strong", "span", "a", "h1", "h2", "h3", "p"} or (
-        not {"ad", "ads", "advert", "cookie", "comment", "comments", "sponsored", "promo", "notice"}.isdisjoint(WORD.findall(words))
-    )
+        return True, frozenset()
+    classes = BESIDE.sub(" ", f"{found.get('class', '')} {found.get('id', '')}")
+    words = BOILERPLATE.intersection(WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", classes).lower()))
+    if in_article:
+        words -= {"header"}
+    return False, words & INLINE_WORDS if name in INLINE else words
 
 
-def lines_of(page: str) -> list[Line]:
-    """The page's blocks in order, empty ones too."""
+def read(page: str, frames: frozenset[int] = frozenset(), words: frozenset[str] = BOILERPLATE) -> Reading:
+    """One pass over a page; class words outside ``words`` and those of the elements in ``frames`` count for nothing."""
     lines = [Line()]
-    # Open elements: (name, boilerplate inside, article inside).
-    stack: list[tuple[str, bool, bool]] = []
+    articles: list[Element] = []
+    marks: list[Element] = []
+    whole = Element(0, "", False, None, end=len(page) + 1)
+    # Open elements: (name, boilerplate inside, article inside, boilerplate by kind inside, text of others inside, counted elements).
+    stack: list[tuple[str, bool, bool, bool, bool, list[Element]]] = []
+    around: Element | None = None
     links = 0
-    skip = article = False
+    skip = article = fixed = foreign = False
+    sums = [0, 0, 0, 0]
     place = 0
 
     def add(text: str) -> None:
@@ -103,16 +188,28 @@ def lines_of(page: str) -> list[Line]:
             lines[-1].parts.append(text)
             if not links:
                 lines[-1].plain += len(text) - text.count(" ")
+        if text and not fixed and not text.isspace():
+            size = len(text) - text.count(" ")
+            if not links:
+                sums[0] += size
+                sums[1] += 0 if foreign else size
+                sums[2] += size if skip and not foreign else 0
+            sums[3] += 0 if skip else size
 
     def new_line() -> None:
         lines.append(Line(boilerplate=skip, article=article))
 
     def close(upto: int) -> None:
-        nonlocal links, skip, article
+        nonlocal links, skip, article, fixed, foreign, around
         while len(stack) > upto:
-            name, *_ = stack.pop()
+            name, *_, counted = stack.pop()
             links -= name == "a"
-        skip, article = stack[-1][1:] if stack else (False, False)
+            for element in counted:
+                element.count(sums, 1)
+                element.end = place
+                if element is around:
+                    around = element.around
+        skip, article, fixed, foreign = stack[-1][1:5] if stack else (False, False, False, False)
 
     while place < len(page):
         m = TOKEN.search(page, place)
@@ -149,13 +246,48 @@ def lines_of(page: str) -> list[Line]:
             if name in BLOCK:
                 new_line()
             continue
-        inside = article or name in {"article", "main"}
-        stack.append((name, skip or is_boilerplate(name, m["attrs"], article), inside))
+        by_kind, named = (True, frozenset()) if fixed else judge(name, m["attrs"], article)
+        named = frozenset() if m.start() in frames else named & words
+        others = foreign or not FOREIGN.isdisjoint(named)
+        counted = []
+        if name in {"article", "main"} and not by_kind:
+            counted.append(Element(m.start(), name, foreign, around))
+            articles.append(counted[-1])
+        if named:
+            counted.append(Element(m.start(), name, others, around))
+            marks.append(counted[-1])
+            around = counted[-1]
+        for element in counted:
+            element.count(sums, -1)
+        stack.append((name, skip or by_kind or bool(named), article or name in {"article", "main"}, by_kind, others, counted))
         links += name == "a"
-        skip, article = stack[-1][1:]
+        skip, article, fixed, foreign = stack[-1][1:5]
         if name in BLOCK:
             new_line()
-    return lines
+    place = len(page)
+    close(0)
+    whole.count(sums, 1)
+    return Reading(lines, articles, marks, whole)
+
+
+def lines_of(page: str) -> list[Line]:
+    """The page's blocks in order, empty ones too."""
+    frames, reading = frozenset(), read(page)
+    # A frame named for the text of others hides what is inside from the first count.
+    for _ in range(2):
+        more = reading.frames() - frames
+        if not more:
+            break
+        frames |= more
+        reading = read(page, frames)
+    body = reading.body()
+    if 2 * body.dropped > body.own:
+        # The words name the parts that the text itself is built of.
+        reading = read(page, frames, FOREIGN)
+        body = reading.body()
+    if body.plain and not body.kept:
+        reading = read(page, words=frozenset())
+    return reading.lines
 
 
 def main_lines(weights: list[int]) -> list[bool]:

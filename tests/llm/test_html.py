@@ -50,6 +50,39 @@ def test_long_boxes_near_both_ends_of_an_article(box):
     assert html.main_text(page(source)) == f"Head\n{lead}\n{(LONG * 20).strip()}\n{close}"
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div class='layout has-sidebar'>{}</div>", "<div class='with-sidebar'>{}</div>", "<div id='page-header-content'>{}</div>",
+        "<div class='elementor-widget elementor-widget-post'><div class='widget-inner'>{}</div></div>", "<div class='post comments-open'>{}</div>",
+        "<div class='page social-layout'>{}<div class='sidebar'><p>About</p><p>the author</p></div></div>",
+        "<div class='sidebar-left'><div class='sidebar'><article>Teaser</article></div><div>{}</div></div>",
+        "<div class='ad-free'><div id='main-menu'><p>Men</p></div>{}<div id='comments'><article class='comment'>Nice.</article></div></div>",
+    ],
+)
+def test_wrappers_named_like_boilerplate(wrapper):
+    assert html.main_text(page(wrapper.format(ARTICLE))) == WANT
+    if "Teaser" not in wrapper and "comments'" not in wrapper:
+        plain = ARTICLE.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert html.main_text(page(wrapper.format(plain))) == WANT
+
+
+def test_class_words_inside_the_article():
+    head = ARTICLE.replace("<h1>", "<div class='entry-header'><h1>").replace("</h1>", "</h1></div>")
+    assert html.main_text(page(head)) == WANT
+    parts = "".join(f"<div class='elementor-widget'>{p}</div>" for p in ("<h1>Head</h1>", f"<p>{LONG}</p>", f"<p>{LONG}</p>"))
+    comments = f"<div id='comments' class='widget'><p>{LONG * 9}</p></div>"
+    assert html.main_text(page(f"<article>{parts}{comments}</article>")) == f"Head\n{LONG.strip()}\n{LONG.strip()}"
+    inner = f"<main><div class='widget'><article>{LONG}</article></div><div class='widget'><article>{LONG}</article></div></main>"
+    assert html.main_text(page(inner)) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_long_comments_stay_boilerplate():
+    comments = "".join(f"<li><article class='comment-body'>{LONG * 5}</article></li>" for _ in range(3))
+    assert html.main_text(page(f"{ARTICLE}<div class='comments'><ol>{comments}</ol></div>")) == WANT
+    assert html.main_text(page(f"<main>{ARTICLE}<div class='comments'><ol>{comments}</ol></div></main>")) == WANT
+
+
 def test_pages_without_an_article_element_use_surge_and_dive():
     menu = "".join(f"<li><a href='{i}'>Link number {i}</a></li>" for i in range(30))
     body = f"<div><ul>{menu}</ul></div><div><p>{LONG}</p><p>Mid.</p><p>{LONG}</p></div><table><tr><td><a href=y>more</a></td></tr></table>"
