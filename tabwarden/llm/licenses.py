@@ -8,6 +8,9 @@ licence is looked up among the known one-line notices. Everything runs as DataFr
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +94,40 @@ CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
 For more information, please refer to <https://unlicense.org>""",
 }
 
+
+
+def _shipped() -> list[tuple[str, str]]:
+    """(licence, text) of the files of ``license_texts``: the public wording, one file for each, others of the same after a plus."""
+    files = [f for f in resources.files(__package__).joinpath("license_texts").iterdir() if f.name.endswith(".txt")]
+    return [(f.name[:-4].partition("+")[0], f.read_text(encoding="utf-8").strip()) for f in sorted(files, key=lambda f: f.name[:-4])]
+
+
+# Further wordings of licences that LICENSES already holds.
+WORDINGS: list[tuple[str, str]] = []
+for _name, _text in _shipped():
+    if _name in LICENSES:
+        WORDINGS.append((_name, _text))
+    else:
+        LICENSES[_name] = _text
+
+# Title lines that stand above a text, or do not. Fixed values.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)", "0BSD"],
+    "BSD-2-Clause": [
+        "BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License",
+        "The Simplified BSD License", "FreeBSD License", "BSD License", "The BSD License", "BSD-2-Clause",
+    ],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License",
+        "The New BSD License", "Modified BSD License", "Revised BSD License", "BSD License", "The BSD License", "BSD-3-Clause",
+    ],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib License (Zlib)", "Zlib"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "BSL-1.0": ["Boost Software License"],
+}
+
 # One-line notices; each must speak of a licence in its canonical form.
 NOTICES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0"],
@@ -126,6 +163,8 @@ SPELLINGS = {
 # Tables of known digests up to this many rows are broadcast.
 BROADCAST_ROWS = 100_000
 
+# Where licences of the Free Software Foundation give its address; earlier prints have the one before.
+FSF_ADDRESS = r"51 Franklin\s+St(?:reet)?,\s+Fifth\s+Floor,\s+Boston,\s+MA\s+02110-1301,?\s+USA"
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*(?:\d{4}|\(c\)|©)[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 
 
@@ -142,14 +181,30 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
+def forms(name: str, text: str) -> list[str]:
+    """A text as it is found in files: with any title line or none, with numbers or bullets, to the end of its
+    terms or with the appendix after them, blank or filled in, and with either scheme of its links."""
+    head, _, rest = text.partition("\n\n")
+    body = rest if rest and "\n" not in head and head.lower().endswith("license") else text
+    found = [text, body, *[f"{t}\n\n{body}" for t in TITLES.get(name, [])]]
+    for change in (
+        lambda t: re.sub(r"(?m)^[ \t]*\d\.[ \t]+", "", t) if name in TITLES else t,
+        lambda t: re.sub(r"(END OF TERMS AND CONDITIONS).*", r"\1", t, flags=re.S),
+        lambda t: re.sub(r"END OF TERMS AND CONDITIONS\s*\Z", "", t),
+        # A line with a year in it is a copyright line and left out of the canonical form.
+        lambda t: re.sub(r"(?m)^[ \t]*Copyright [\[{]yyyy[\]}] .*$", "", t),
+        lambda t: re.sub(FSF_ADDRESS, "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", t),
+        lambda t: t.replace("http://", "https://"),
+        lambda t: t.replace("https://", "http://"),
+    ):
+        found = list(dict.fromkeys([*found, *map(change, found)]))
+    return found
+
+
 def known_licenses(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
-    """(license, digest) of entire texts; a title line at the head may be missing."""
-    rows = []
-    for name, text in (LICENSES if texts is None else texts).items():
-        rows.append((name, text))
-        head, _, rest = text.partition("\n\n")
-        if rest and "\n" not in head and head.lower().endswith("license"):
-            rows.append((name, rest))
+    """(license, digest) of entire texts in all their forms."""
+    sources = [*LICENSES.items(), *WORDINGS] if texts is None else texts.items()
+    rows = [(name, form) for name, text in sources for form in forms(name, text)]
     table = spark.createDataFrame(rows, "license string, text string")
     return table.select("license", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("license").alias("license"))
 

@@ -22,6 +22,35 @@ def test_entire_texts(make_docs):
     assert len({got[i].digest for i in (0, 1, 2, 3)}) == 1
 
 
+def test_long_texts_and_their_forms(make_docs):
+    apache, gpl, bsd = (licenses.LICENSES[n] for n in ("Apache-2.0", "GPL-2.0-only", "BSD-3-Clause"))
+    ends = apache.partition("END OF TERMS AND CONDITIONS")
+    texts = [
+        apache, apache.replace("[yyyy] [name of copyright owner]", "2021 A. Name"), ends[0] + ends[1], ends[0], apache.replace("http://", "https://"),
+        gpl, re.sub(licenses.FSF_ADDRESS, "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA", gpl), bsd,
+        "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + re.sub(r"\n\d\. ", "\n* ", bsd),
+        apache.replace("perpetual", "temporary"), gpl[: len(gpl) // 2],
+    ]
+    want = ["Apache-2.0"] * 5 + ["GPL-2.0-only"] * 2 + ["BSD-3-Clause"] * 2 + [None] * 2
+    for name in ("GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0", "BSL-1.0", "OFL-1.1"):
+        texts.append(licenses.LICENSES[name])
+        want.append(name)
+    got = found(make_docs, texts)
+    assert [got[i].license for i in range(len(texts))] == want
+
+
+@pytest.mark.parametrize(
+    "name,title",
+    [
+        ("BSD-2-Clause", "BSD 2-Clause License"), ("MIT", "The MIT License (MIT)"), ("Zlib", "zlib License"), ("ISC", "The ISC License"),
+        ("0BSD", "BSD Zero Clause License"), ("Unlicense", "The Unlicense"),
+    ],
+)
+def test_titles(make_docs, name, title):
+    text = licenses.LICENSES[name].removeprefix(f"{name} License\n\n")
+    assert found(make_docs, [f"{title}\n\nCopyright (c) 2014 B. Name\n\n{text}\n"])[0].license == name
+
+
 def test_notices(make_docs):
     texts = [
         "Some text.\nLicensed under the Apache License, Version 2.0.\nMore.", "  released under the mit licence", "Licensed under CC BY-NC 4.0!",
