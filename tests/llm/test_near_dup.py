@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 
@@ -34,6 +35,30 @@ def brute(rows, percent):
     return {i: (len(sets[i]), root(i), root(i) == i) for i in sets}
 
 
+def ruled_out(threshold):
+    """Chance that the sketches of a pair at the threshold differ in too many bits: samples that differ, then bits that end odd."""
+    bits, limit = near_dup.SKETCH, near_dup.most_differing(threshold)
+    k = np.arange(bits + 1)
+    odd, chance = np.zeros(bits + 1), 0.0
+    odd[0] = 1
+    for differing in range(near_dup.SAMPLES + 1):
+        weight = math.comb(near_dup.SAMPLES, differing) * (1 - threshold) ** differing * threshold ** (near_dup.SAMPLES - differing)
+        chance += weight * odd[limit + 1 :].sum()
+        for _ in range(2):
+            step = np.zeros(bits + 1)
+            step[1:] += odd[:-1] * (bits - k[:-1]) / bits
+            step[:-1] += odd[1:] * k[1:] / bits
+            odd = step
+    return chance
+
+
+@pytest.mark.parametrize("threshold,stated", [(0.8, 4.3e-7), (0.85, 1e-8)])
+def test_sketches_rarely_rule_out_a_pair_at_the_threshold(threshold, stated):
+    assert ruled_out(threshold) <= stated
+    no_band = (1 - threshold**near_dup.BAND) ** near_dup.BANDS
+    assert no_band + ruled_out(threshold) < {0.8: 3.7e-6, 0.85: 3.1e-8}[threshold]
+
+
 def edited(text, seed, changes):
     r = random.Random(seed)
     words = text.split()
