@@ -116,8 +116,54 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+EXACT_DEDUP = r"""
+WITH docs AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY text) AS kept, sha256(text) AS text_sha256
+FROM docs
+"""
+
+FILTER_AUDIT = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS ws FROM documents
+),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+facts AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM docs d LEFT JOIN marks USING (doc_id)
+),
+counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM facts GROUP BY ALL
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+),
+steps AS (SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i] AS f, filter_order[1:i - 1] AS earlier FROM orders, range(1, 6) AS r(i)),
+joined AS (
+  SELECT *, contains(fails, f) AS failing, earlier <> '' AND fails <> '' AND regexp_matches(fails, '[' || earlier || '_]') AS gone FROM steps, counts
+),
+summed AS (
+  SELECT part, filter_order, step, f, CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND NOT failing), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND failing), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (WHERE gone AND failing), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (WHERE fails = f), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(good) FILTER (WHERE NOT gone AND failing), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(toxic) FILTER (WHERE NOT gone AND failing), 0) AS BIGINT) AS toxic_lost
+  FROM joined GROUP BY ALL
+)
+SELECT * EXCLUDE (f), CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM summed
+"""
+
 ORACLE_SQL = {
     "op3_quality_rules": quality_sql(),
     "op5_license_scan": license_sql(),
     "op9_near_duplicates": NEAR_DUPLICATES,
+    "op11_exact_dedup": EXACT_DEDUP,
+    "op12_filter_audit": FILTER_AUDIT,
 }

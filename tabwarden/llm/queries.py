@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwarden.llm import decontaminate, html, language, licenses, mixing, near_dup, packing, quality, repeats, secrets
+from tabwarden.llm import (
+    conversation, decontaminate, exact_dedup, filter_audit, html, language, licenses, mixing, near_dup, packing, quality, repeats, secrets,
+)
 from tabwarden.llm.oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -60,6 +62,18 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chunks")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -71,4 +85,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_page_text": op10_page_text,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_conversation_repair": op13_conversation_repair,
 }

@@ -1,0 +1,125 @@
+"""Conversation repair against plain Python: faults row by row, edits by uniform-cost search over role strings."""
+
+import hashlib
+import heapq
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from tabwarden.llm import conversation, queries
+
+SHAPE = re.compile("(s?(ua)+)?")
+
+
+def uniform_cost(codes):
+    heap = [(0, "", 0, "")]
+    while True:
+        cost, path, i, roles = heapq.heappop(heap)
+        if i == len(codes) and SHAPE.fullmatch(roles):
+            return cost, path
+        if len(roles) < len(codes) + 3:
+            for r in "ua":
+                heapq.heappush(heap, (cost + 2, path + "I", i, roles + r))
+        if i < len(codes):
+            heapq.heappush(heap, (cost + 3, path + "D", i + 1, roles))
+            if codes[i] != "D":
+                extra = int(codes[i].isupper())
+                heapq.heappush(heap, (cost + extra, path + "K", i + 1, roles + codes[i].lower()))
+                for r in "ua":
+                    heapq.heappush(heap, (cost + extra + 2, path + "R", i + 1, roles + r))
+
+
+def plainly(rows):
+    """The contract, one conversation after another, for rows (conv_id, turn, role, text)."""
+    out = {}
+    show = lambda v: " " if v is None else str(v)
+    for conv in {r[0] for r in rows}:
+        after = []
+        for _, turn, role, text in (r for r in rows if r[0] == conv):
+            role, text, kind = show(role), show(text), zlib.crc32(f"{show(conv)}:{show(turn)}".encode()) % 20
+            text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+            role = "user" if kind == 4 else role
+            after += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+        after.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).digest()))
+        seen, codes, count = set(), "", dict(blank=0, duplicate=0, truncated=0)
+        for _, role, text in after:
+            words = re.findall(r"[^\x20\x09-\x0D]", text)
+            fault = "blank" if not words else "duplicate" if (role, text) in seen else "truncated" if words[-1] not in ".!?" else None
+            seen.add((role, text))
+            letter = role[:1] if role[:1] in ("s", "u", "a") else "x"
+            codes += "D" if fault in ("blank", "duplicate") else letter.upper() if fault else letter
+            if fault:
+                count[fault] += 1
+        initials = [r[1][:1] for r in after]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        turns = [r[0] for r in after if r[0] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        cost, audit = uniform_cost(codes)
+        left, done = iter(after), []
+        for edit in audit:
+            due = "assistant" if done and done[-1][0] == "u" else "user"
+            if edit == "I":
+                done.append(f"{due}:")
+                continue
+            _, role, text = next(left)
+            if edit != "D":
+                done.append(f"{role if edit == 'K' else due}:{text}")
+        sha = hashlib.sha256("\n".join(done).encode()).hexdigest()
+        out[conv] = (gaps, *count.values(), illegal, cost, audit, sha)
+    return out
+
+
+def repaired(df):
+    got = conversation.repair(df).collect()
+    assert len(got) == len({r.conv_id for r in got})
+    return {r.conv_id: tuple(r)[1:] for r in got}
+
+
+def test_search_equals_uniform_cost():
+    rng = random.Random(5)
+    every = ["".join(c) for n in range(4) for c in itertools.product("DsuaxSUAX", repeat=n)]
+    for codes in every + ["".join(rng.choices("DsuaxSUAX", k=rng.randint(4, 6))) for _ in range(100)]:
+        assert conversation.cheapest(codes) == uniform_cost(codes), codes
+
+
+@pytest.mark.parametrize("codes", ["s", "u", "a", "D", "sU", "DsuaxSUAX"])
+def test_long_conversations_are_searched(codes):
+    long = (codes * 3000)[:3000]
+    cost, audit = conversation.cheapest(long)
+    assert len(audit.replace("I", "")) == 3000 and cost >= 0
+
+
+def test_table_equals_plain_python(spark, sf):
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").collect()
+    df = queries.op13_conversation_repair(spark, sf)
+    assert {r.conv_id: tuple(r)[1:] for r in df.collect()} == plainly([tuple(r) for r in rows])
+
+
+def test_nulls_ties_repeats_long_texts_and_clashing_names(spark):
+    rng = random.Random(3)
+    texts = [None, "", " \t", "Yes.", "No", "Why?", "é。", "long " * 50_000 + "."]
+    roles = [None, "", "system", "user", "assistant", "tool", "User"]
+    rows = [
+        (rng.choice([None, 1, 2, 3, *range(10, 40)]), rng.choice([None, 0, 1, 2, 3]), rng.choice(roles), rng.choice(texts)) for _ in range(120)
+    ]
+    # A uniform-cost search over role strings is slow on long conversations.
+    rows = [r for i, r in enumerate(rows) if sum(q[0] == r[0] for q in rows[:i]) < 5]
+    rows += rows[:3]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for name in ("conv", "m", "kind", "code", "audit", "is_row"):
+        df = df.selectExpr("*", f"'x' AS {name}")
+    assert repaired(df) == plainly(rows)
+
+
+def test_one_conversation_of_many_equal_rows(spark):
+    df = spark.range(3000).selectExpr("CAST(7 AS BIGINT) AS conv_id", "id % 2 AS turn", "'user' AS role", "'Same.' AS text")
+    (row,) = conversation.repair(df).collect()
+    assert row.duplicate > 1000 and len(row.audit.replace("I", "")) == row.duplicate + 1 + row.blank
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    assert conversation.repair(df).collect() == []

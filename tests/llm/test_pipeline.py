@@ -16,7 +16,7 @@ def folder(spark, tmp_path_factory):
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and set(queries.QUERIES) <= set(names)
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
