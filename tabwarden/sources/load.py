@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,15 +44,33 @@ def _table_folder(spark: SparkSession, table: str) -> str:
     return rows.first()["data_type"].rstrip("/")
 
 
+_reserving = threading.Lock()
+
+
+def _create(spark: SparkSession, fs, path) -> bool:
+    """Create an empty file unless it is there, in one step of the file system: an exclusive create on a local disk, where
+    Hadoop's own is two steps, and elsewhere a create that may not overwrite."""
+    if fs.getScheme() == "file":
+        return spark._jvm.java.io.File(path.toUri().getPath()).createNewFile()
+    try:
+        fs.create(path, False).close()
+    except Py4JJavaError:
+        if not fs.exists(path):
+            raise
+        return False
+    return True
+
+
 def _reserve(spark: SparkSession, folder: str) -> int:
-    """The first load number nobody has taken. Creating a file is atomic, so two loads never share one."""
+    """The first load number nobody has taken; two loads never share one where creating a file is atomic."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_loads")
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    taken = [int(s.getPath().getName()) for s in fs.listStatus(path)]
-    number = max(taken, default=-1) + 1
-    while not fs.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(path, str(number))):
-        number += 1
+    with _reserving:
+        fs.mkdirs(path)
+        taken = [int(s.getPath().getName()) for s in fs.listStatus(path)]
+        number = max(taken, default=-1) + 1
+        while not _create(spark, fs, spark._jvm.org.apache.hadoop.fs.Path(path, str(number))):
+            number += 1
     return number
 
 
@@ -73,7 +95,8 @@ def append_load(df: DataFrame, table: str, location: str | None = None) -> int:
     counted = df.withColumns({"_part": part, "_row": row, "_id": number}).observe(
         seen, F.count(F.lit(1)).alias("n"), F.max("_part").alias("part"), F.max("_row").alias("row")
     )
-    staged = f"{folder}/_staged/load_id={load}"
+    # A folder, and so a committer, of its own: another load's commit removes what lies beside its files.
+    staged = f"{folder}/_staged/{uuid.uuid4().hex}"
     rows = counted.select(F.col("_id").alias("id"), *[F.col(_quoted_part(c)) for c in df.columns], F.current_timestamp().alias("created_at"))
     rows.write.parquet(staged)
     found = seen.get
