@@ -59,6 +59,11 @@ def own_folder(spark: SparkSession) -> str:
     return _own[app]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one stage table in the shared folder."""
     return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
