@@ -198,23 +198,25 @@ def _join_hosts(judged: DataFrame, hosts: DataFrame, host: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that pass, with the columns of ``docs``.
+    """The documents that pass, with the columns of ``docs``, whatever they are called.
 
-    The texts are not shuffled: the counts are taken once to judge the hosts and once to judge
-    the documents beside the list of condemned hosts.
+    A null or empty text fails, a null host is never condemned, repeated rows are judged one by one and
+    an empty table stays empty. The texts are not shuffled: the counts are taken once to judge the
+    hosts and once to judge the documents beside the list of condemned hosts.
     """
-    judged = doc_features(docs.select(host, "text"), [host]).withColumns(failures())
-    bad = materialise(host_rates(judged, host).where("condemned").select(F.col(host).alias("__host")), "bad-hosts")
     own = docs.columns
-    counts = docs.withColumn("__counts", text_features("text"))
-    fails = {f"__{name}": rule for name, rule in failures(lambda n: F.col(f"__counts.{n}")).items()}
+    p = tx.clear_prefix(own)
+    judged = doc_features(docs.select(host, "text"), [host]).withColumns(failures())
+    bad = materialise(host_rates(judged, host).where("condemned").select(F.col(host).alias(f"{p}host")), "bad-hosts")
+    counts = docs.withColumn(f"{p}counts", text_features("text"))
+    fails = {f"{p}{name}": rule for name, rule in failures(lambda n: F.col(f"{p}counts.{n}")).items()}
     rated = counts.withColumns(fails)
     n_bad = bad.count()
     if n_bad:
         bad = F.broadcast(bad) if n_bad <= BROADCAST_HOSTS else bad
-        rated = rated.join(bad, rated[host] == bad["__host"], "left")
+        rated = rated.join(bad, rated[host] == bad[f"{p}host"], "left")
     else:
-        rated = rated.withColumn("__host", F.lit(None).cast("string"))
-    failed_any = F.greatest(*[F.col(f"__{r}") for r in RULES])
-    dropped = F.col("__few_words") | F.col("__repeats") | (F.col("__host").isNotNull() & failed_any)
-    return rated.where(~dropped).select(*own)
+        rated = rated.withColumn(f"{p}host", F.lit(None).cast("string"))
+    failed_any = F.greatest(*[F.col(f"{p}{r}") for r in RULES])
+    dropped = F.col(f"{p}few_words") | F.col(f"{p}repeats") | (F.col(f"{p}host").isNotNull() & failed_any)
+    return rated.where(~dropped).select(*[F.col(f"`{c}`") for c in own])

@@ -141,3 +141,11 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     for r in np.flatnonzero((counts > 0) & (counts < width)):
         out[ends[r]] = window_hash(words[bounds[r] : bounds[r + 1]], int(counts[r]))[0]
     return out, ends
+
+
+def clear_prefix(columns: list[str]) -> str:
+    """A prefix that no column has, for columns of our own beside those of a user."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix

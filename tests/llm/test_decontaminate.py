@@ -91,6 +91,42 @@ def test_nulls_short_items_repeats_and_empty_tables(spark, make_docs, prose):
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 2, 5]
 
 
+def test_every_length_and_all_edits_in_the_budget(spark, make_docs, prose):
+    """Recall 1 against the whole table for items of 25 to 60 characters; the bound is never 0."""
+    assert all(n + 1 - dc.gram_size(n) * (dc.most_edits(n) + 1) >= 1 for n in range(1, 20_000))
+    wanted, rows = [], []
+    for n in range(dc.MIN_ITEM, 61):
+        item = dc.normalised(prose(9_000 + n, 40))[:n].rstrip().ljust(n, "z")
+        wanted.append((n, item))
+        for k in range(dc.most_edits(n) + 2):
+            # Edits at equal distances leave the shortest pieces.
+            places = [(j + 1) * n // (k + 1) for j in range(k)]
+            spread = "".join("#" if c in places else x for c, x in enumerate(item))
+            rows += [(100 * n + 10 * k, prose(n, 6) + " " + spread + " " + prose(n + 1, 6)), (100 * n + 10 * k + 1, edited(item, n + k, k))]
+    got = {r.doc_id: r for r in dc.contamination(make_docs(rows), items(spark, wanted)).collect()}
+    for i, text in rows:
+        clean = dc.normalised(text)
+        assert set(got[i].item_ids) == {n for n, w in wanted if distance(w, clean) <= dc.most_edits(n)}, i
+
+
+def test_short_items_are_reported_apart(spark, make_docs):
+    wanted = items(spark, [(1, "What is  2+2?"), (2, "of"), (3, "who am I"), (4, "who AM i"), (5, "x" * 24)])
+    rows = [(1, "He asked: 'what is\n2+2?' of me"), (2, "often, who am  I."), (3, "who am Io"), (4, None), (5, "y" + "x" * 24)]
+    got = {r.doc_id: r for r in dc.contamination(make_docs(rows), wanted).collect()}
+    assert {i: sorted(r.short_ids) for i, r in got.items()} == {1: [1, 2], 2: [3, 4], 3: [], 4: [], 5: []}
+    assert not any(r.contaminated or r.n_items or r.copies for r in got.values())
+    assert sorted(r.doc_id for r in dc.drop_contaminated(make_docs(rows), wanted, short=True).collect()) == [3, 4, 5]
+    assert dc.drop_contaminated(make_docs(rows), wanted).count() == 5
+
+
+def test_names_of_columns_do_not_clash(spark, make_docs, prose):
+    item = prose(1, 30)
+    docs = make_docs([(1, item), (2, "clean")], extra=["__found", "___FOUND", "a.b"])
+    kept = dc.drop_contaminated(docs, items(spark, [(1, item)]))
+    assert kept.columns == docs.columns
+    assert kept.collect() == docs.where("doc_id = 2").collect()
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_alignment_against_the_whole_table(seed):
     r = random.Random(seed)

@@ -76,3 +76,12 @@ def test_empty_table_and_columns_of_the_stage(make_docs, prose):
     docs = make_docs([(1, prose(1, 50)), (2, None)], extra=["condemned"])
     out = quality.keep_good(docs)
     assert out.columns == docs.columns and [r.doc_id for r in out.collect()] == [1]
+
+
+def test_names_of_columns_do_not_clash(make_docs, prose):
+    marked = " ".join(w + "#" for w in prose(4, 50).split())
+    rows = [(i, prose(i, 50), "en", f"h{i % 20}") for i in range(400)] + [(1000 + i, marked + f" {i}", "en", "bad") for i in range(60)]
+    docs = make_docs(rows, extra=["__host", "__counts", "__few_words", "___HOST", "condemned", "a.b"])
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect()) == sorted(docs.where("doc_id < 400").collect())
