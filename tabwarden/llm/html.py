@@ -75,6 +75,8 @@ class Line:
     plain: int = 0
     boilerplate: bool = False
     article: bool = False
+    # An h1 outside the article.
+    headline: bool = False
 
     def text(self) -> str:
         return SPACES.sub(" ", "".join(self.parts)).strip()
@@ -123,9 +125,13 @@ class Reading:
     page: Element
 
     def body(self) -> Element:
-        """The element that holds the text: the largest article, the narrowest of several that hold most of it."""
+        """The element that holds the text: the largest article, the narrowest of several that hold most of it.
+        Articles among the text of others, such as comments, count only where the page holds no text but theirs."""
         found = [a for a in self.articles if a.plain]
-        found = [a for a in found if not a.foreign] or found
+        own = [a for a in found if not a.foreign]
+        if not own and self.page.own > self.page.dropped and self.page.kept:
+            return self.page
+        found = own or found
         most = max((a.size() for a in found), default=0)
         return min((a for a in found if 2 * a.size() >= most), key=Element.size, default=self.page)
 
@@ -146,10 +152,6 @@ class Reading:
         return frozenset(frames)
 
 
-def attributes(source: str) -> dict[str, str]:
-    return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in ATTRIBUTE.finditer(source)}
-
-
 def judge(name: str, source: str, in_article: bool) -> tuple[bool, frozenset[str]]:
     """Whether an element holds something other than main text by its kind, and the class words that say so."""
     if name in SKIPPED or name == "footer" or (name == "header" and not in_article):
@@ -197,7 +199,7 @@ def read(page: str, frames: frozenset[int] = frozenset(), words: frozenset[str]
             sums[3] += 0 if skip else size
 
     def new_line() -> None:
-        lines.append(Line(boilerplate=skip, article=article))
+        lines.append(Line(boilerplate=skip, article=article, headline=not article and any(n == "h1" for n, *_ in stack[-3:])))
 
     def close(upto: int) -> None:
         nonlocal links, skip, article, fixed, foreign, around
@@ -322,7 +324,10 @@ def main_text(page: str | None) -> str:
     # Empty lines between blocks come from the markup; they are no gap in the text.
     rows = [(line, t) for line, t in zip(lines, texts, strict=True) if t]
     if marked:
-        return "\n".join(t for line, t in rows if line.article and not line.boilerplate)
+        first = next(i for i, (line, _) in enumerate(rows) if line.article and not line.boilerplate)
+        # The headline may stand before the article it belongs to.
+        heads = [t for line, t in rows[:first] if line.headline and not line.boilerplate]
+        return "\n".join([*heads[-1:], *(t for line, t in rows if line.article and not line.boilerplate)])
     weights = [0 if line.boilerplate else line.plain for line, _ in rows]
     if max((sum(weights[i : i + WINDOW]) for i in range(len(weights))), default=0) <= SURGE:
         # Nothing surges: a page of short lines is its own text.

@@ -39,7 +39,8 @@ UNKNOWN = "und"
 # Rows of vectors held at once.
 ROWS = 256
 
-LETTER = re.compile(r"[^\W\d_]")
+# Word characters that are no decimal digits: the letters, but also characters like ² and Ⅷ.
+LETTERLIKE = re.compile(r"[^\W\d_]")
 
 # Bytes of letters, and of anything outside ASCII, are kept.
 LETTERS = np.full(256, 0x20, np.uint8)
@@ -48,7 +49,8 @@ LETTERS[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and LETTER.search(text) is not None
+    """Whether a character of the Unicode categories L* occurs, as in ``fit``."""
+    return bool(text) and any(m[0].isalpha() for m in LETTERLIKE.finditer(text))
 
 
 def counts(texts: list[str | None]) -> np.ndarray:

@@ -131,3 +131,19 @@ def test_rows(spark):
     got = sorted(out.collect(), key=lambda r: r.page_id or 0)
     assert [(r.text, r.n_chars) for r in got] == [("", 0), (WANT, len(WANT)), (WANT, len(WANT)), ("", 0)]
     assert html.extract(out.limit(0).selectExpr("page_id", "url", "text AS html")).count() == 0
+
+
+def test_comments_in_articles_are_not_the_article():
+    post, reply = "word " * 60, "other " * 200
+    page = f"<div class=post><p>{post}</p></div><section id=comments><article><p>{reply}</p></article></section>"
+    assert html.main_text(page) == post.strip()
+    only = f"<div id=comments><article><p>{reply}</p></article></div>"
+    assert html.main_text(only) == reply.strip()
+
+
+def test_the_headline_before_the_article_stays():
+    body = "word " * 60
+    page = f"<header><h1>Site</h1></header><div><h1>The <i>head</i></h1><p>menu</p><article><p>{body}</p></article></div>"
+    assert html.main_text(page) == "The head\n" + body.strip()
+    page = f"<h1>Other</h1><h1>Near</h1><main><h1>Head</h1><p>{body}</p></main><h1>After</h1>"
+    assert html.main_text(page) == "Near\nHead\n" + body.strip()

@@ -70,3 +70,11 @@ def test_several_centroids_for_a_language():
     centroids = language.spherical_means(points, 3)
     assert (points @ centroids.T).max(axis=1).min() > 0.9
     assert len(language.spherical_means(np.ones((5, 4)) / 2, 4)) == 1
+
+
+def test_letters_are_unicode_letters(spark):
+    texts = ["²½", "Ⅷ", "12_ ٣", "a²", "ß", "漢", "ʰ", "", None, "²½ é"]
+    want = [False, False, False, True, True, True, True, False, False, True]
+    assert [language.has_letter(t) for t in texts] == want
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in rows.orderBy("i").selectExpr(r"coalesce(t rlike '\\p{L}', false)").collect()] == want
