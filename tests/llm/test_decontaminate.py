@@ -12,14 +12,13 @@ def items(spark, rows):
 
 def distance(item, text):
     """Least edits from the item to any part of the text, by the whole table."""
-    row = np.zeros(len(text) + 1, int)
+    row = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):
-        new = np.empty_like(row)
-        new[0] = i
+        new = [i]
         for j, d in enumerate(text, 1):
-            new[j] = min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1)
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
         row = new
-    return int(row.min())
+    return min(row)
 
 
 def edited(text, seed, n):
