@@ -43,11 +43,36 @@ def average_precision(df: DataFrame, label: str, score: str, **sizes) -> DataFra
     return steps.agg(F.sum(gained * precision).alias("average_precision"))
 
 
-def roc_curve(df: DataFrame, label: str, score: str, **sizes) -> DataFrame:
+def _reduced(points: DataFrame, travelled: Column, cells: int, kept) -> DataFrame:
+    """Of the points of each of ``cells`` equal parts of ``travelled`` (0 to 1) those that ``kept`` picks.
+
+    One aggregation with map-side combining: a task passes on a bounded number of points.
+    """
+    cell = F.least(F.lit(cells - 1), F.floor(F.coalesce(travelled, F.lit(0.0)) * cells))
+    row = F.struct(*points.columns)
+    picked = [pick(row, by).alias(f"p{i}") for i, (pick, by) in enumerate(kept)]
+    per_cell = points.groupBy(cell.alias("cell")).agg(*picked)
+    return per_cell.select(F.inline(F.array_distinct(F.array(*[f"p{i}" for i in range(len(kept))]))))
+
+
+def _cells(max_points: int, per_cell: int) -> int:
+    """Cells that leave room for the end point of the curve."""
+    if max_points <= per_cell:
+        raise ValueError(f"a curve needs room for {per_cell + 1} points at least, not {max_points}")
+    return (max_points - 1) // per_cell
+
+
+def roc_curve(df: DataFrame, label: str, score: str, max_points: int | None = None, **sizes) -> DataFrame:
     """(threshold, fpr, tpr), from (0, 0) with no threshold down to the lowest score.
 
     A point between two steps of equal size adds nothing to the line and is left out,
     except at the highest score.
+
+    ``max_points`` bounds the rows. The way along the curve, fpr + tpr, is cut into
+    (max_points - 1) // 2 equal parts, and the first and last point of each stay. Both rates only
+    grow, so a point left out lies between the two kept ones of its part, neither of which is
+    further than 2 / ((max_points - 1) // 2) from it in fpr and tpr together; the line through the
+    kept points is nowhere further from the curve than that, upwards or sideways.
     """
     steps = _steps(df, label, score, following=True, **sizes)
     first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
@@ -57,18 +82,31 @@ def roc_curve(df: DataFrame, label: str, score: str, **sizes) -> DataFrame:
         safe_ratio(F.col("cum_neg"), F.col("total_neg"), None).alias("fpr"),
         safe_ratio(F.col("cum_pos"), F.col("total_pos"), None).alias("tpr"),
     )
+    if max_points is not None:
+        way = (F.col("fpr") + F.col("tpr")) / 2
+        points = _reduced(points, way, _cells(max_points, 2), [(F.max_by, F.col("threshold")), (F.min_by, F.col("threshold"))])
     start = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(points)
 
 
-def pr_curve(df: DataFrame, label: str, score: str, **sizes) -> DataFrame:
-    """(threshold, precision, recall) per distinct score, and the closing (1, 0)."""
+def pr_curve(df: DataFrame, label: str, score: str, max_points: int | None = None, **sizes) -> DataFrame:
+    """(threshold, precision, recall) per distinct score, and the closing (1, 0).
+
+    ``max_points`` bounds the rows. Recall is cut into (max_points - 1) // 4 equal parts; of each the
+    first and last point and those of the largest and smallest precision stay (of equal ones that of
+    the higher threshold). So a point left out has kept points above and below it in precision
+    that are closer in recall than 4 / (max_points - 4).
+    """
     steps = _steps(df, label, score, **sizes)
     points = steps.select(
         F.col("score").alias("threshold"),
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
         safe_ratio(F.col("cum_pos"), F.col("total_pos"), None).alias("recall"),
     )
+    if max_points is not None:
+        high, low = F.struct("precision", "threshold"), F.struct("precision", -F.col("threshold"))
+        kept = [(F.max_by, F.col("threshold")), (F.min_by, F.col("threshold")), (F.max_by, high), (F.min_by, low)]
+        points = _reduced(points, F.col("recall"), _cells(max_points, 4), kept)
     end = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )

@@ -232,12 +232,8 @@ FROM tested
 UNION ALL
 SELECT 'all_missing', 0, 0, NULL, NULL, 1.0, 1.0, false, CAST(0.05 AS DOUBLE)
 """
-KS_EXACT = """
-WITH RECURSIVE
-long AS (
-  SELECT 'p_size' AS column_name, CAST(p_size AS DOUBLE) AS value, p_type = 'ECONOMY' AS later FROM part WHERE p_size IS NOT NULL
-  UNION ALL SELECT 'p_retailprice', CAST(p_retailprice AS DOUBLE), p_type = 'ECONOMY' FROM part WHERE p_retailprice IS NOT NULL
-),
+# The orderings of every sample of ``long`` (column_name, value, later) counted row by row.
+ORDERINGS = """
 steps AS (SELECT column_name, value, count(*) FILTER (WHERE NOT later) AS c1, count(*) FILTER (WHERE later) AS c2 FROM long GROUP BY ALL),
 sums AS (
   SELECT column_name, CAST(sum(c1) OVER upto AS BIGINT) AS s1, CAST(sum(c2) OVER upto AS BIGINT) AS s2,
@@ -270,10 +266,44 @@ inside AS (
     )
   )
 )
-SELECT k.column_name, k.n1, k.n2, round(CAST(gap AS DOUBLE) / n1 / n2, 6) AS d,
-       round(1 - exp(ln(row[len(row)]) + scale - (lgamma(n1 + n2 + 1) - lgamma(n1 + 1) - lgamma(n2 + 1))), 6) AS p_value
+"""
+ORDERINGS_P = "round(1 - exp(ln(row[len(row)]) + scale - (lgamma(n1 + n2 + 1) - lgamma(n1 + 1) - lgamma(n2 + 1))), 6)"
+KS_EXACT = f"""
+WITH RECURSIVE
+long AS (
+  SELECT 'p_size' AS column_name, CAST(p_size AS DOUBLE) AS value, p_type = 'ECONOMY' AS later FROM part WHERE p_size IS NOT NULL
+  UNION ALL SELECT 'p_retailprice', CAST(p_retailprice AS DOUBLE), p_type = 'ECONOMY' FROM part WHERE p_retailprice IS NOT NULL
+),
+{ORDERINGS}
+SELECT k.column_name, k.n1, k.n2, round(CAST(gap AS DOUBLE) / n1 / n2, 6) AS d, {ORDERINGS_P} AS p_value
 FROM ks k JOIN inside i ON i.column_name = k.column_name AND i.j = least(n1, n2)
 """
+
+
+def _ks_segments() -> str:
+    long = _union(
+        [
+            f"SELECT '{c}:' || l_suppkey AS column_name, {c} AS value, l_shipdate >= TIMESTAMP '{DRIFT_SINCE}' AS later FROM lineitem WHERE {c} IS NOT NULL"
+            for c in DRIFT_COLUMNS[:2]
+        ]
+    )
+    return f"""
+    WITH RECURSIVE long AS ({long}), {ORDERINGS},
+    counted AS (
+      SELECT k.column_name, {ORDERINGS_P} AS p_value
+      FROM ks k JOIN inside i ON i.column_name = k.column_name AND i.j = least(n1, n2) WHERE least(n1, n2) > 0 AND gap > 0
+    ),
+    sizes AS (SELECT *, CAST(gap AS DOUBLE) / n1 / n2 AS d, n1 * CAST(n2 AS DOUBLE) / (n1 + n2) AS weight FROM ks)
+    SELECT CAST(split_part(s.column_name, ':', 2) AS BIGINT) AS l_suppkey, split_part(s.column_name, ':', 1) AS column_name, n1, n2,
+           CASE WHEN least(n1, n2) > 0 THEN round(d, 6) END AS d,
+           CASE WHEN least(n1, n2) = 0 THEN NULL WHEN d * sqrt(weight) < 0.2 THEN 1.0 ELSE round(greatest(0.0, least(1.0, (
+             SELECT sum(2.0 * CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * d * d * weight))
+             FROM range(1, 101) AS r(k)))), 6) END AS p_asymptotic,
+           CASE WHEN least(n1, n2) > 0 THEN COALESCE(p_value, 1.0) END AS p_value
+    FROM sizes s LEFT JOIN counted c ON c.column_name = s.column_name
+    """
+
+
 DRIFT_SUMMARY = f"""
 WITH {_ks()}
 SELECT count(*) AS total_columns_checked, bool_or(p_value < 0.05) AS drift_detected, CAST(0.05 AS DOUBLE) AS threshold_used,
@@ -450,6 +480,30 @@ SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(1 AS DOUBLE) AS precision, CAST(0
 UNION ALL
 SELECT score, round(cp / (cp + cn), 6), round(cp / p, 6) FROM steps
 """
+ROC_CURVE_BOUNDED = f"""
+WITH {STEPS},
+points AS (SELECT score AS threshold, cn / n AS fpr, cp / p AS tpr FROM steps WHERE place = 1 OR np IS NULL OR pos <> np OR neg <> nn),
+parts AS (SELECT *, least(19, floor((fpr + tpr) / 2 * 20)) AS part FROM points)
+SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr
+UNION ALL
+SELECT threshold, round(fpr, 6), round(tpr, 6) FROM parts
+QUALIFY threshold = max(threshold) OVER (PARTITION BY part) OR threshold = min(threshold) OVER (PARTITION BY part)
+"""
+PR_CURVE_BOUNDED = f"""
+WITH {STEPS},
+points AS (SELECT score AS threshold, cp / (cp + cn) AS precision, cp / p AS recall FROM steps),
+parts AS (SELECT *, least(9, floor(recall * 10)) AS part FROM points),
+places AS (
+  SELECT *, row_number() OVER (PARTITION BY part ORDER BY threshold) AS lowest,
+         row_number() OVER (PARTITION BY part ORDER BY threshold DESC) AS highest,
+         row_number() OVER (PARTITION BY part ORDER BY precision, threshold DESC) AS worst,
+         row_number() OVER (PARTITION BY part ORDER BY precision DESC, threshold DESC) AS best
+  FROM parts
+)
+SELECT CAST(NULL AS DOUBLE) AS threshold, CAST(1 AS DOUBLE) AS precision, CAST(0 AS DOUBLE) AS recall
+UNION ALL
+SELECT threshold, round(precision, 6), round(recall, 6) FROM places WHERE least(lowest, highest, worst, best) = 1
+"""
 R2 = """
 WITH g AS (SELECT o_totalprice AS y, avg(o_totalprice) OVER (PARTITION BY o_custkey) AS f FROM orders)
 SELECT count(*) AS n, round(1 - sum((y - f) * (y - f)) / (var_pop(y) * count(*)), 6) AS r2 FROM g
@@ -609,6 +663,7 @@ ORACLE_SQL = {
     "ks_stat": f"WITH {_ks()} SELECT column_name, n1, n2, round(d, 9) AS d FROM tested",
     "ks_pvalue_asymp": f"WITH {_ks()} SELECT column_name, n1, n2, {DRIFT_ROWS} FROM tested",
     "ks_pvalue_exact": KS_EXACT,
+    "ks_segments": _ks_segments(),
     "drift_report": DRIFT_REPORT,
     "drift_summary": DRIFT_SUMMARY,
     "stratified_split": STRATIFIED_SPLIT,
@@ -627,6 +682,8 @@ ORACLE_SQL = {
     "average_precision": AVERAGE_PRECISION,
     "roc_curve": ROC_CURVE,
     "pr_curve": PR_CURVE,
+    "roc_curve_bounded": ROC_CURVE_BOUNDED,
+    "pr_curve_bounded": PR_CURVE_BOUNDED,
     "r2_score": R2,
     "model_compare": MODEL_COMPARE,
     "select_best": SELECT_BEST,

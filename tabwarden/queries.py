@@ -210,6 +210,13 @@ def ks_pvalue_exact(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(drift.ks_test(stats, "exact").select("column_name", "n1", "n2", "d", "p_value"))
 
 
+def ks_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Every supplier's own lines, earlier against later: as many samples as suppliers, each of a size that does not grow."""
+    stats = drift.ks_by_segment(*_lineitem_samples(spark, sf), "l_suppkey", DRIFT_COLUMNS[:2])
+    tested = drift.ks_test(drift.ks_test(stats).withColumnRenamed("p_value", "p_asymptotic"), "exact", refused="null")
+    return _rounded(tested.select("l_suppkey", "column_name", "n1", "n2", "d", "p_asymptotic", "p_value"))
+
+
 def drift_report(spark: SparkSession, sf: str) -> DataFrame:
     """The measures, one with gaps on one side, and a column without any value."""
     gaps = F.when(F.col("l_linenumber") > 1, F.col("l_quantity"))
@@ -314,6 +321,14 @@ def pr_curve(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(curves.pr_curve(_scored_labels(spark, sf), "quality", "n_chars"))
 
 
+def roc_curve_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(curves.roc_curve(_scored_labels(spark, sf), "quality", "n_chars", max_points=41))
+
+
+def pr_curve_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(curves.pr_curve(_scored_labels(spark, sf), "quality", "n_chars", max_points=41))
+
+
 def r2_score(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_custkey", "o_totalprice")
     means = orders.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("guess"))
@@ -586,6 +601,7 @@ QUERIES = {
     "ks_stat": ks_stat,
     "ks_pvalue_asymp": ks_pvalue_asymp,
     "ks_pvalue_exact": ks_pvalue_exact,
+    "ks_segments": ks_segments,
     "drift_report": drift_report,
     "drift_summary": drift_summary,
     "stratified_split": stratified_split,
@@ -604,6 +620,8 @@ QUERIES = {
     "average_precision": average_precision,
     "roc_curve": roc_curve,
     "pr_curve": pr_curve,
+    "roc_curve_bounded": roc_curve_bounded,
+    "pr_curve_bounded": pr_curve_bounded,
     "r2_score": r2_score,
     "model_compare": model_compare,
     "select_best": select_best,

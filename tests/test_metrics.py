@@ -71,6 +71,42 @@ def test_curves_against_brute_force(spark, sizes):
     assert curves.pr_curve(df, "y", "score").where("threshold is null").first()[1:] == (1.0, 0.0)
 
 
+@pytest.mark.parametrize("most", [3, 8, 41, 5000])
+def test_bounded_roc_curve_stays_within_its_error(spark, most):
+    df, _, _ = _scored(spark, 3000)
+    full = [tuple(r)[1:] for r in curves.roc_curve(df, "y", "score").collect()]
+    kept = sorted(tuple(r)[1:] for r in curves.roc_curve(df, "y", "score", max_points=most).collect())
+    assert len(kept) <= most and set(kept) <= set(full) and kept[0] == (0.0, 0.0) and kept[-1] == (1.0, 1.0)
+    part = 2 / ((most - 1) // 2)
+    for fpr, tpr in set(full) - set(kept):
+        after = next(i for i, p in enumerate(kept) if sum(p) > fpr + tpr)
+        (x0, y0), (x1, y1) = kept[after - 1], kept[after]
+        assert x0 <= fpr <= x1 and y0 <= tpr <= y1 and (x1 - x0) + (y1 - y0) <= part + 1e-12
+
+
+@pytest.mark.parametrize("most", [5, 41, 5000])
+def test_bounded_pr_curve_keeps_the_outline(spark, most):
+    df, _, _ = _scored(spark, 3000)
+    full = [tuple(r) for r in curves.pr_curve(df, "y", "score").collect()]
+    kept = [tuple(r) for r in curves.pr_curve(df, "y", "score", max_points=most).collect()]
+    assert len(kept) == len(set(kept)) <= most and set(kept) <= set(full)
+    part = 4 / (most - 4)
+    for _, precision, recall in set(full) - set(kept):
+        near = [p for _, p, r in kept if abs(r - recall) <= part]
+        assert min(near) <= precision <= max(near)
+
+
+def test_bounded_curves_of_odd_rows(spark):
+    one_class = spark.createDataFrame([(0.1, 1), (0.2, 1), (None, 0), (0.3, None)], "score double, y int")
+    assert curves.roc_curve(one_class, "y", "score", max_points=3).count() <= 3
+    assert curves.pr_curve(one_class, "y", "score", max_points=5).count() <= 5
+    assert curves.roc_curve(one_class.limit(0), "y", "score", max_points=3).count() == 1
+    with pytest.raises(ValueError):
+        curves.roc_curve(one_class, "y", "score", max_points=2)
+    with pytest.raises(ValueError):
+        curves.pr_curve(one_class, "y", "score", max_points=4)
+
+
 def test_probability_inputs(spark):
     from pyspark.ml.linalg import Vectors
 
