@@ -614,6 +614,43 @@ def _boost(rounds: int = 3) -> str:
     return f"WITH {TRAITS}, {', '.join(steps)} SELECT id, CAST(vote > 0 AS INTEGER) AS prediction, round(1 / (1 + exp(-vote / total)), 6) AS p FROM r{rounds}"
 
 
+def _fold_scores(depth: int = 2) -> str:
+    """Fold scores of trees of every depth up to ``depth``, grown split by split: R² of the predicted labels."""
+    share = lambda p, t: f"(CAST({p} AS DOUBLE) / {t})"
+    log = lambda x: f"CASE WHEN {x} > 0 AND {x} < 1 THEN -{x} * ln({x}) - (1 - {x}) * ln(1 - {x}) ELSE 0 END"
+    impurity = lambda p, t: f"{t} * CASE WHEN criterion = 'gini' THEN 2 * {share(p, t)} * (1 - {share(p, t)}) ELSE {log(share(p, t))} END"
+    steps = [
+        _split("traits", "id", "Result"),
+        "train AS (SELECT traits.*, row_number() OVER place AS place, count(*) OVER (PARTITION BY Result) AS n FROM traits "
+        "JOIN split_rows ON id = k WHERE split = 'train' WINDOW place AS (PARTITION BY Result ORDER BY md5('42:' || CAST(id AS VARCHAR)), id))",
+        f"n0 AS (SELECT criterion, held, id, [{', '.join(f'COALESCE({c}, 0)' for c in FEATURES)}] AS xs, CAST(Result = 1 AS BIGINT) AS y, "
+        "held = CASE WHEN place > (2 * n) // 3 THEN 2 WHEN place > n // 3 THEN 1 ELSE 0 END AS is_held, CAST(1 AS BIGINT) AS node "
+        "FROM train, (SELECT unnest(['gini', 'entropy']) AS criterion), (SELECT unnest(range(0, 3)) AS held))",
+    ]
+    for d in range(depth):
+        steps += [
+            f"l{d} AS (SELECT criterion, held, node, unnest(range(0, {len(FEATURES)})) AS f, unnest(xs) AS v, y FROM n{d} WHERE NOT is_held)",
+            f"a{d} AS (SELECT criterion, held, node, f, v, sum(y) AS pos, count(*) AS tot FROM l{d} GROUP BY ALL)",
+            f"c{d} AS (SELECT *, lead(v) OVER o AS nv, sum(pos) OVER o AS lp, sum(tot) OVER o AS lt, sum(pos) OVER a AS p, sum(tot) OVER a AS t "
+            f"FROM a{d} WINDOW o AS (PARTITION BY criterion, held, node, f ORDER BY v), a AS (PARTITION BY criterion, held, node, f))",
+            f"b{d} AS (SELECT criterion, held, node, f, (v + nv) / 2.0 AS cut FROM c{d} WHERE nv IS NOT NULL QUALIFY row_number() OVER "
+            f"(PARTITION BY criterion, held, node ORDER BY round(({impurity('lp', 'lt')} + {impurity('(p - lp)', '(t - lt)')}) / t, 12), f, cut) = 1)",
+            f"n{d + 1} AS (SELECT n.* EXCLUDE (node), 2 * n.node + CASE WHEN xs[f + 1] > cut THEN 1 ELSE 0 END AS node "
+            f"FROM n{d} n LEFT JOIN b{d} b ON b.criterion = n.criterion AND b.held = n.held AND b.node = n.node)",
+            f"s{d + 1} AS (SELECT criterion, {d + 1} AS max_depth, held AS fold, 1 - sum((y - guess) * (y - guess)) / (count(*) * var_pop(y)) AS r2 FROM ("
+            "SELECT *, CASE WHEN 2 * sum(y) FILTER (WHERE NOT is_held) OVER leaf > count(*) FILTER (WHERE NOT is_held) OVER leaf THEN 1 ELSE 0 END AS guess "
+            f"FROM n{d + 1} WINDOW leaf AS (PARTITION BY criterion, held, node)) WHERE is_held GROUP BY criterion, held)",
+        ]
+    scores = _union([f"SELECT * FROM s{d + 1}" for d in range(depth)])
+    return f"""
+    WITH {TRAITS}, {', '.join(steps)}, scores AS ({scores}),
+    means AS (SELECT criterion, max_depth, round(avg(r2), 9) AS mean FROM scores GROUP BY ALL),
+    best AS (SELECT * FROM means ORDER BY mean DESC, criterion DESC, max_depth LIMIT 1)
+    SELECT s.criterion, s.max_depth, s.fold, round(r2, 6) AS r2, b.mean IS NOT NULL AS chosen
+    FROM scores s LEFT JOIN best b ON b.criterion = s.criterion AND b.max_depth = s.max_depth
+    """
+
+
 def _searched(counts: dict[str, int]) -> str:
     rows = [f"SELECT '{m}' AS model, {n} AS n_candidates, true AS beats_majority, true AS folds_scored, true AS best_is_first" for m, n in counts.items()]
     return _union(rows)
@@ -697,6 +734,7 @@ ORACLE_SQL = {
     "fit_logistic": _fit("Logistic Regression"),
     "fit_adaboost": _fit("AdaBoost"),
     "adaboost_scores": _boost(),
+    "r2_search": _fold_scores(),
     "grid_search": _searched({"Decision Tree": 8}),
     "random_search": _searched({"Logistic Regression": 13}),
     "family_search": _searched({"Decision Tree": 4, "Random Forest": 4, "Gradient Boosting": 2, "Logistic Regression": 2, "AdaBoost": 2}),

@@ -481,6 +481,18 @@ def _search_facts(found: list[search.Found], test: DataFrame) -> DataFrame:
     )
 
 
+def r2_search(spark: SparkSession, sf: str) -> DataFrame:
+    """R² of the predicted labels of every fold and candidate of a search over shallow trees, as the search records
+    them, and which candidate it chose."""
+    train, _ = _matrix(spark, sf)
+    record = new_path(spark, "r2-search")
+    found = search.grid_search(train, "Decision Tree", {"criterion": ["gini", "entropy"], "max_depth": [1, 2]}, average="r2", record=record)
+    settings = F.from_json("params", "criterion string, max_depth int")
+    scores = search.recorded(spark, record).select(settings.alias("s"), "fold", F.col("score").alias("r2"))
+    chosen = (F.col("s.criterion") == found.params["criterion"]) & (F.col("s.max_depth") == found.params["max_depth"])
+    return _rounded(scores.select("s.criterion", "s.max_depth", "fold", "r2", chosen.alias("chosen")))
+
+
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     """The whole declared grid of the tree."""
     train, test = _matrix(spark, sf)
@@ -635,6 +647,7 @@ QUERIES = {
     "fit_logistic": _fit("Logistic Regression"),
     "fit_adaboost": _fit("AdaBoost"),
     "adaboost_scores": adaboost_scores,
+    "r2_search": r2_search,
     "grid_search": grid_search,
     "random_search": random_search,
     "family_search": family_search,
